@@ -1,0 +1,58 @@
+"""Shuffle width from input size.
+
+AQE merges shuffle partitions that turn out small but cannot split one that
+feeds an aggregate, so the width has to be large enough beforehand: 200 of them
+would hold half a terabyte each for 100 TB of input.
+"""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+
+log = logging.getLogger(__name__)
+
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+TARGET_BYTES = 512 * 1024**2
+# Beyond this the bookkeeping of map outputs on the driver costs more than
+# larger partitions do: aggregates by sorting spill, they do not fail.
+MOST_PARTITIONS = 100_000
+_NO_ESTIMATE = 2**60
+
+
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate for a frame, or None where it has none."""
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # a remote session keeps its plans to itself
+        return None
+    return size if size < _NO_ESTIMATE else None
+
+
+def shuffle_width(size: int | None, at_least: int, target: int = TARGET_BYTES) -> int:
+    """Partitions of about ``target`` bytes, never fewer than ``at_least``."""
+    if size is None:
+        return at_least
+    return max(at_least, min(MOST_PARTITIONS, -(-size // target)))
+
+
+@contextmanager
+def shuffle_sized_for(df: DataFrame, growth: float = 1.0) -> Iterator[None]:
+    """Run a block with shuffles wide enough for ``df`` times ``growth``.
+
+    Raises the session's setting for the block where needed, never lowers it.
+    """
+    spark: SparkSession = df.sparkSession
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    size = scanned_bytes(df)
+    wanted = shuffle_width(None if size is None else int(size * growth), int(before))
+    try:
+        if wanted != int(before):
+            log.info("shuffle partitions for this job: %s instead of %s", wanted, before)
+            spark.conf.set(SHUFFLE_PARTITIONS, wanted)
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
