@@ -1,8 +1,13 @@
-"""Shuffle width from input size.
+"""Session settings that the jobs depend on: shuffle width and method size.
 
 AQE merges shuffle partitions that turn out small but cannot split one that
 feeds an aggregate, so the width has to be large enough beforehand: 200 of them
 would hold half a terabyte each for 100 TB of input.
+
+Typing a wide record makes a large projection.  Whole-stage code generation
+puts it into one method, and beyond 8000 bytes the JVM only interprets that
+method, at a third of the speed or less.  With the limit set, Spark compiles
+such a projection in smaller pieces instead.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 log = logging.getLogger(__name__)
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+METHOD_BYTES = "8000"
 TARGET_BYTES = 512 * 1024**2
 # Beyond this the bookkeeping of map outputs on the driver costs more than
 # larger partitions do: aggregates by sorting spill, they do not fail.
@@ -39,20 +46,29 @@ def shuffle_width(size: int | None, at_least: int, target: int = TARGET_BYTES) -
     return max(at_least, min(MOST_PARTITIONS, -(-size // target)))
 
 
+def limit_method_size(spark: SparkSession) -> None:
+    """Set the method limit for the whole session, for plans that run lazily."""
+    spark.conf.set(METHOD_LIMIT, METHOD_BYTES)
+
+
 @contextmanager
-def shuffle_sized_for(df: DataFrame, growth: float = 1.0) -> Iterator[None]:
-    """Run a block with shuffles wide enough for ``df`` times ``growth``.
+def tuned_for(df: DataFrame, growth: float = 1.0) -> Iterator[None]:
+    """Run a block with settings that suit a job over ``df``.
 
-    Raises the session's setting for the block where needed, never lowers it.
+    Shuffles get wide enough for its size times ``growth``; the session's own
+    width is raised where needed, never lowered.  All settings are put back.
     """
     spark: SparkSession = df.sparkSession
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, METHOD_LIMIT)}
+    at_least = int(before[SHUFFLE_PARTITIONS])
     size = scanned_bytes(df)
-    wanted = shuffle_width(None if size is None else int(size * growth), int(before))
+    wanted = shuffle_width(None if size is None else int(size * growth), at_least)
+    if wanted != at_least:
+        log.info("shuffle partitions for this job: %s instead of %s", wanted, at_least)
     try:
-        if wanted != int(before):
-            log.info("shuffle partitions for this job: %s instead of %s", wanted, before)
-            spark.conf.set(SHUFFLE_PARTITIONS, wanted)
+        spark.conf.set(SHUFFLE_PARTITIONS, wanted)
+        limit_method_size(spark)
         yield
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
