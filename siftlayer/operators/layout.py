@@ -7,7 +7,8 @@ a key with a third of all rows would become one huge task without it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 _KEY = "_morton_key"
 _SLOT = "_slot_{}"
+_SPREAD = "_spread"
 _RANKABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -51,7 +53,9 @@ def order_by_range(
     return _in_range_order(df, columns, spread, partitions)
 
 
-def quantile_bounds(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
+def quantile_bounds(
+    df: DataFrame, columns: Sequence[str], bits: int
+) -> dict[str, list[float]]:
     """Up to ``2 ** bits - 1`` ascending cut points per column, in one pass.
 
     The result is bounded by ``bits`` and not by the data.
@@ -67,7 +71,10 @@ def quantile_bounds(df: DataFrame, columns: Sequence[str], bits: int) -> dict[st
             for i, c in enumerate(columns)
         )
     ).first()
-    return {c: sorted(set(sketches[i] or [])) for i, c in enumerate(columns)}
+    return {
+        c: sorted({cut for cut in sketches[i] or [] if math.isfinite(cut)})
+        for i, c in enumerate(columns)
+    }
 
 
 def _rank_value(df: DataFrame, column: str) -> Column:
@@ -81,10 +88,11 @@ def _rank_value(df: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
-def _add_slot(df: DataFrame, column: str, slot: str, bounds: Sequence[float], bits: int):
+def _add_slot(df: DataFrame, column: str, slot: str, bounds: Sequence[float]) -> DataFrame:
     """Number of bounds at or below the value, found bit by bit."""
-    padded = list(bounds) + [None] * (2**bits - 1 - len(bounds))
-    table = F.array(*(F.lit(b).cast("double") for b in padded))
+    bits = len(bounds).bit_length()
+    padding = ["null"] * (2**bits - 1 - len(bounds))
+    table = F.expr(f"array({', '.join([f'{b!r}D' for b in bounds] + padding)})")
     value = _rank_value(df, column)
     found = df.withColumn(slot, F.lit(0))
     for bit in reversed(range(bits)):
@@ -98,11 +106,26 @@ def _add_slot(df: DataFrame, column: str, slot: str, bounds: Sequence[float], bi
     return found
 
 
+def _interleaved(slots: Sequence[tuple[str, int]]) -> Column:
+    """One key from slots of so many bits each, taking their highest bits first."""
+    widest = max(bits for _, bits in slots)
+    order = [
+        (slot, bits - 1 - level)
+        for level in range(widest)
+        for slot, bits in slots
+        if level < bits
+    ]
+    key = F.lit(0).cast("bigint")
+    for place, (slot, bit) in enumerate(reversed(order)):
+        digit = F.shiftright(F.col(slot), bit).bitwiseAND(F.lit(1)).cast("bigint")
+        key = key.bitwiseOR(F.shiftleft(digit, place))
+    return key
+
+
 def order_by_morton_key(
     df: DataFrame,
     columns: Sequence[str],
-    bounds: dict[str, Sequence[float]],
-    bits: int,
+    bounds: Mapping[str, Sequence[float]],
     spread: Column | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -111,19 +134,16 @@ def order_by_morton_key(
     Values are ranked against ``bounds`` (see :func:`quantile_bounds`) and the
     bits of the ranks are interleaved into one key.
     """
-    if bits * len(columns) > 63:
-        raise ValueError(f"{len(columns)} columns of {bits} bits do not fit a 64-bit key")
-    slots = [_SLOT.format(i) for i in range(len(columns))]
-    ranked = df if spread is None else df.withColumn("_spread", spread)
-    for column, slot in zip(columns, slots):
-        ranked = _add_slot(ranked, column, slot, bounds[column], bits)
-    key = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for i, slot in enumerate(reversed(slots)):
-            digit = F.shiftright(F.col(slot), bit).bitwiseAND(F.lit(1)).cast("bigint")
-            key = key.bitwiseOR(F.shiftleft(digit, bit * len(slots) + i))
-    keyed = ranked.withColumn(_KEY, key).drop(*slots)
+    slots = [(_SLOT.format(i), len(bounds[c]).bit_length()) for i, c in enumerate(columns)]
+    if sum(bits for _, bits in slots) > 63:
+        raise ValueError(f"the bounds of {list(columns)} do not fit a 64-bit key")
+    if not any(bits for _, bits in slots):
+        return df  # nothing but nulls to order by
+    ranked = df if spread is None else df.withColumn(_SPREAD, spread)
+    for column, (slot, _) in zip(columns, slots):
+        ranked = _add_slot(ranked, column, slot, bounds[column])
+    keyed = ranked.withColumn(_KEY, _interleaved(slots)).drop(*(slot for slot, _ in slots))
     placed = _in_range_order(
-        keyed, [_KEY], None if spread is None else F.col("_spread"), partitions
+        keyed, [_KEY], None if spread is None else F.col(_SPREAD), partitions
     )
-    return placed.drop(_KEY, "_spread")
+    return placed.drop(_KEY, _SPREAD)

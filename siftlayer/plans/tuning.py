@@ -32,10 +32,9 @@ _NO_ESTIMATE = 2**60
 
 def scanned_bytes(df: DataFrame) -> int | None:
     """Spark's size estimate for a frame, or None where it has none."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # a remote session keeps its plans to itself
+    if not hasattr(df, "_jdf"):  # a remote session keeps its plans to itself
         return None
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size if size < _NO_ESTIMATE else None
 
 

@@ -134,7 +134,7 @@ def recluster_table(
         placed = order_by_range(df, columns, spread, partitions)
     elif curve == "morton":
         bounds = quantile_bounds(df, columns, bits)
-        placed = order_by_morton_key(df, columns, bounds, bits, spread, partitions)
+        placed = order_by_morton_key(df, columns, bounds, spread, partitions)
     else:
         raise ValueError(f"curve must be 'morton' or 'linear', not {curve!r}")
     return replace_table(placed, name, location)
