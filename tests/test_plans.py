@@ -61,3 +61,17 @@ def test_bronze_is_map_only(spark, sf_dir):
 def test_counts_scan_once_and_hash_aggregate(spark, sf_dir, tmp_path):
     plan = _plan(trips.counts(_bronze(spark, tmp_path, sf_dir)))
     assert plan.count("FileScan") == 1 and "SortAggregate" not in plan
+
+
+def test_typing_a_trip_compiles(spark, sf_dir, tmp_path):
+    """The JVM leaves methods beyond 8000 bytes to its interpreter."""
+    rows = _bronze(spark, tmp_path, sf_dir)
+    text = io.StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(text):
+            trips.to_silver(rows).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
