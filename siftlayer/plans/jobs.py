@@ -8,9 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from siftlayer.plans import trips
-from siftlayer.plans.tuning import tuned_for
 from siftlayer.sinks import append_partitioned, recluster_table, replace_table
 from siftlayer.sources import read_first_available, read_table
+from siftlayer.tuning import tuned_for
 
 STAGES = ("bronze", "silver", "gold")
 

@@ -16,6 +16,7 @@ from siftlayer.operators.layout import (
     order_by_range,
     quantile_bounds,
 )
+from siftlayer.tuning import tuned_for
 
 log = logging.getLogger(__name__)
 
@@ -90,7 +91,8 @@ def _switch(spark: SparkSession, name: str, schema: T.StructType, folder: str) -
             spark.catalog.getTable(name).tableType == "EXTERNAL"
             and _nullable(spark.table(name).schema) == schema
         ):
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            quoted = folder.replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
@@ -137,4 +139,5 @@ def recluster_table(
         placed = order_by_morton_key(df, columns, bounds, spread, partitions)
     else:
         raise ValueError(f"curve must be 'morton' or 'linear', not {curve!r}")
-    return replace_table(placed, name, location)
+    with tuned_for(df):
+        return replace_table(placed, name, location)

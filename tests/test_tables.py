@@ -6,8 +6,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from siftlayer import tuning
 from siftlayer.operators.layout import file_position, order_by_range, quantile_bounds
-from siftlayer.plans import jobs, trips, tuning
+from siftlayer.plans import jobs, trips
 from siftlayer.plans.schemas import BRONZE, GOLD, SILVER
 from siftlayer.sinks import append_partitioned, recluster_table, replace_table
 from siftlayer.sources import read_first_available, read_text_columns
