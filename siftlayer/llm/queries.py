@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .mixing import mix_sources
 from .sharding import shard_by_bytes
+from .suffixes import remove_repeats
 
 
 def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,17 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that each document loses to documents with smaller ids."""
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mix_sources(table(spark, sf_dir, "documents")).select(
@@ -36,6 +48,7 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_shard": op2_shard,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op7_mix": op7_mix,
 }
 
