@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def default_tokenizer() -> str:
+    """The vocabulary file that the packing queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 class Workspace:
     """Tables of one run, written below the folder that the cluster shares.
 

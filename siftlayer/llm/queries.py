@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import default_tokenizer, table
 from .mixing import mix_sources
+from .packing import pack_documents
 from .sharding import shard_by_bytes
 from .suffixes import remove_repeats
 
@@ -46,10 +47,16 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents in sequences of 2048 tokens; ``tokenizer`` is the vocabulary file."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
+
+
 QUERIES = {
     "op2_shard": op2_shard,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op7_mix": op7_mix,
+    "op10_pack": op10_pack,
 }
 
 ORACLE: dict[str, str] = {}
