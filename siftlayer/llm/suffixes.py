@@ -77,7 +77,8 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.nonzero(chosen)[0]
         places.append(at + start)
         ranks.append(hashes[SIDE + at])
-    return np.concatenate(places), np.concatenate(ranks)
+    # The chosen hashes are small ones; scrambled again, they fill all buckets alike.
+    return np.concatenate(places), mixed(np.concatenate(ranks) + _FACTORS[0])
 
 
 class _Texts:
