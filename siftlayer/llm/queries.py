@@ -9,6 +9,7 @@ from .common import default_tokenizer, table
 from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_by_bytes
+from .simhash import near_duplicates
 from .suffixes import remove_repeats
 
 
@@ -47,6 +48,13 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of near-duplicates of each document."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in sequences of 2048 tokens; ``tokenizer`` is the vocabulary file."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
@@ -56,6 +64,7 @@ QUERIES = {
     "op2_shard": op2_shard,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op7_mix": op7_mix,
+    "op8_simhash": op8_simhash,
     "op10_pack": op10_pack,
 }
 
