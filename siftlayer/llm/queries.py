@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import default_tokenizer, table
+from .language import identify_languages
 from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_by_bytes
@@ -37,6 +38,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mix_sources(table(spark, sf_dir, "documents")).select(
@@ -63,6 +69,7 @@ def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
 QUERIES = {
     "op2_shard": op2_shard,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op6_language": op6_language,
     "op7_mix": op7_mix,
     "op8_simhash": op8_simhash,
     "op10_pack": op10_pack,
