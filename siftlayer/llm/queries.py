@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import default_tokenizer, table
 from .language import identify_languages
 from .mixing import mix_sources
+from .order_minhash import order_fingerprints
 from .packing import pack_documents
 from .sharding import shard_by_bytes
 from .simhash import near_duplicates
@@ -61,6 +62,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how alike they are."""
+    return order_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in sequences of 2048 tokens; ``tokenizer`` is the vocabulary file."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
@@ -72,6 +78,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_mix": op7_mix,
     "op8_simhash": op8_simhash,
+    "op9_order_minhash": op9_order_minhash,
     "op10_pack": op10_pack,
 }
 
