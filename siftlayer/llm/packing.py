@@ -27,7 +27,7 @@ from .common import Workspace
 
 LENGTH = 2048
 GROUP_PIECES = 8192
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 MOVES = 2
 _JOINED = 500
 _TOGETHER = 512
@@ -63,12 +63,12 @@ class _WordIds:
         for start in range(0, len(parts), _JOINED):
             some = parts[start : start + _JOINED]
             ids = self._encode([" ".join(some)])[0]
-            ends = np.nonzero(self.closes[ids])[0] + 1
+            ends = (4 * np.nonzero(self.closes[ids])[0] + 4).tolist()
             if len(ends) == len(some):
-                pieces = np.split(ids, ends[:-1])
+                packed = ids.tobytes()
+                self.parts.update((x, packed[i:j]) for x, i, j in zip(some, [0, *ends], ends, strict=False))
             else:  # a part that the tokenizer cuts further
-                pieces = self._encode(some)
-            self.parts.update((part, piece.tobytes()) for part, piece in zip(some, pieces, strict=True))
+                self.parts.update((x, piece.tobytes()) for x, piece in zip(some, self._encode(some), strict=True))
 
     def _learn(self, words: list[str]) -> None:
         plain = {word: found.groups() for word in words if (found := self.plain(word))}
@@ -81,13 +81,13 @@ class _WordIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        met: dict[str, None] = {}
+        met: set[str] = set()
         for words in split:
-            met.update(dict.fromkeys(words))
-        new = met.keys() - self.words.keys()
+            met.update(words)
+        new = [word for word in met if word not in self.words]
         if len(self.words) + len(new) > self.most:
-            self.words, self.parts, new = {}, {"": b""}, met.keys()
-        self._learn(list(new))
+            self.words, self.parts, new = {}, {"": b""}, list(met)
+        self._learn(new)
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
@@ -97,8 +97,12 @@ def _tokenized(path: str, length: int, cached: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
+        import tokenizers
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        ids_of = _WordIds(path, cached)
+        # A worker process runs many tasks; what one has learnt stays for the next.
+        kept = tokenizers.__dict__.setdefault("_word_ids_by_path", {})
+        ids_of = kept.get(path) or kept.setdefault(path, _WordIds(path, cached))
         for batch in batches:
             rows = []
             texts = ["" if text is None else text for text in batch["text"]]
