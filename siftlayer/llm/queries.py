@@ -10,6 +10,7 @@ from .language import identify_languages
 from .mixing import mix_sources
 from .order_minhash import order_fingerprints
 from .packing import pack_documents
+from .pivots import exact_top_k
 from .sharding import shard_by_bytes
 from .simhash import near_duplicates
 from .suffixes import remove_repeats
@@ -39,6 +40,30 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+_OP4_SQL = """
+WITH whole AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(CAST(x AS DOUBLE))]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        CAST(coalesce(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]), 0) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document."""
     return identify_languages(table(spark, sf_dir, "documents"))
@@ -75,6 +100,7 @@ def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
 QUERIES = {
     "op2_shard": op2_shard,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_top_k": op4_top_k,
     "op6_language": op6_language,
     "op7_mix": op7_mix,
     "op8_simhash": op8_simhash,
@@ -82,4 +108,4 @@ QUERIES = {
     "op10_pack": op10_pack,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op4_top_k": _OP4_SQL}
