@@ -10,12 +10,18 @@ from .language import identify_languages
 from .mixing import mix_sources
 from .order_minhash import order_fingerprints
 from .packing import pack_documents
+from .pages import main_texts
 from .pivots import exact_top_k
 from .sharding import shard_by_bytes
 from .simhash import near_duplicates
 from .suffixes import remove_repeats
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
     return shard_by_bytes(table(spark, sf_dir, "documents")).select(
@@ -98,6 +104,7 @@ def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_shard": op2_shard,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_top_k": op4_top_k,
