@@ -64,6 +64,15 @@ def answer(messages: DataFrame, make: Callable[[pd.DataFrame], pd.DataFrame]) ->
     return messages.groupBy("bucket").applyInPandas(make, MESSAGE)
 
 
+def answer_with(messages: DataFrame, table: DataFrame, make: Callable[..., pd.DataFrame]) -> DataFrame:
+    """As ``answer``, with the rows of a table that is kept by bucket as well."""
+
+    def with_table(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        return make(rows, own)
+
+    return messages.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(with_table, MESSAGE)
+
+
 def message_rows(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=list(_FIELDS))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import default_tokenizer, table
 from .language import identify_languages
+from .maxent import score_texts
 from .mixing import mix_sources
 from .order_minhash import order_fingerprints
 from .packing import pack_documents
@@ -70,6 +71,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op5_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and maximum-entropy scores of all documents."""
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document."""
     return identify_languages(table(spark, sf_dir, "documents"))
@@ -108,6 +114,7 @@ QUERIES = {
     "op2_shard": op2_shard,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_top_k": op4_top_k,
+    "op5_maxent": op5_maxent,
     "op6_language": op6_language,
     "op7_mix": op7_mix,
     "op8_simhash": op8_simhash,
