@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import unit_hash
+from .common import unit_hash, whole_row
 
 WINDOW = 256
 SAMPLE = 600
@@ -207,18 +207,14 @@ def _sample(docs: DataFrame, size: int) -> DataFrame:
     return first.orderBy("lang", "place").select(F.array_distinct(F.array(*parts)).alias("parts"), "lang")
 
 
-def _predicted(network: Network | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _predictor(network: Network | None):
+    """``lang_pred`` and ``score`` of a text; only texts go to the workers."""
+
+    @F.pandas_udf("lang_pred string, score double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names, scores = predict(network, batch["text"].tolist())
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "held_out": batch["held_out"],
-                    "lang_pred": names,
-                    "score": scores,
-                }
-            )
+            names, scores = predict(network, batch.tolist())
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     return run
 
@@ -230,22 +226,21 @@ def held_out(doc_id, folds: int, fold: int):
 
 
 def identify_languages(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` for each document.
-
-    The network learns from at most ``sample`` texts of each non-null language
-    outside the held-out fold; only texts enter a prediction.  A text that is
-    null, empty or without a letter, and every text where nothing is labelled, is
-    ``und`` with score 0.  Repeated rows are predicted alike; a null id counts as
-    an empty string in the fold; an empty table gives no row.
+    """Every row of ``docs`` with the language of its text.
+
+    Returns ``row`` (all input columns), ``held_out``, ``lang_pred`` and
+    ``score``.  The network learns from at most ``sample`` texts of each non-null
+    language outside the held-out fold; only texts enter a prediction.  A text
+    that is null, empty or without a letter, and every text where nothing is
+    labelled, is ``und`` with score 0.  Repeated rows are predicted alike; a null
+    id counts as an empty string in the fold; an empty table gives no row.
     """
-    plain = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"),
-        docs["text"].cast("string").alias("text"),
-        docs["lang"].cast("string").alias("lang"),
-        held_out(docs["doc_id"], 4, 2).alias("held_out"),
+    text, lang = docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang")
+    fold = held_out(docs["doc_id"], 4, 2)
+    labelled = docs.where(~fold & lang.isNotNull() & text.isNotNull()).select(
+        docs["doc_id"].cast("long").alias("doc_id"), text, lang
     )
-    labelled = plain.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL")
     rows = [row for row in _sample(labelled, sample).collect() if has_letter("".join(row["parts"]))]
     network = train([row["parts"] for row in rows], [row["lang"] for row in rows])
-    schema = "doc_id long, held_out boolean, lang_pred string, score double"
-    return plain.select("doc_id", "text", "held_out").mapInPandas(_predicted(network), schema)
+    found = docs.select(whole_row(docs), fold.alias("held_out"), _predictor(network)(text).alias("found"))
+    return found.select("row", "held_out", "found.lang_pred", "found.score")

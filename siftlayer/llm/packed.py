@@ -17,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 * 2**20
@@ -33,18 +33,26 @@ class Chunks:
 
     ``bits`` says how many leading bits of a key hash name its bucket; both
     numbers follow the bytes of all texts, so that neither a chunk nor a bucket
-    grows with the corpus.
+    grows with the corpus.  ``carry``, a string, travels with each document.
     """
 
-    def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> None:
+    def __init__(
+        self,
+        docs: DataFrame,
+        carry: Column | None = None,
+        chunk_bytes: int = CHUNK_BYTES,
+        bucket_bytes: int = BUCKET_BYTES,
+    ) -> None:
         text = F.coalesce(docs["text"].cast("string"), F.lit(""))
         total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
         count = max(1, -(-total // chunk_bytes))
         self.bits = max(LEAST_BITS, (max(1, total) // bucket_bytes).bit_length())
         doc_id = docs["doc_id"].cast("long")
-        self.docs = docs.select(
-            doc_id.alias("doc_id"), text.alias("text"), F.pmod(F.xxhash64(doc_id), F.lit(count)).alias("chunk")
-        )
+        # Documents without an id are dealt by their texts.
+        spread = F.xxhash64(F.coalesce(doc_id, F.xxhash64(text)))
+        chunk = F.pmod(spread, F.lit(count)).alias("chunk")
+        carried = (F.lit(None).cast("string") if carry is None else carry).alias("carry")
+        self.docs = docs.select(doc_id.alias("doc_id"), text.alias("text"), carried, chunk)
 
     def send(self, make: Callable[[pd.DataFrame], Iterator], answers: list[DataFrame] = (), schema: str = MESSAGE):
         """What ``make`` returns for each chunk, given its documents and the answers to it."""

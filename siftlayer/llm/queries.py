@@ -78,7 +78,9 @@ def op5_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document."""
-    return identify_languages(table(spark, sf_dir, "documents"))
+    return identify_languages(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "held_out", "lang_pred", "score"
+    )
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from .packed import (
     Chunks,
@@ -86,6 +86,7 @@ class _Texts:
 
     def __init__(self, docs: pd.DataFrame, bits: int) -> None:
         docs = docs.sort_values(["doc_id", "text"], na_position="first")
+        self.carry = docs["carry"].tolist()
         self.null = docs["doc_id"].isna().to_numpy()
         # A document without an id precedes none and follows none.
         self.ids = docs["doc_id"].fillna(0).to_numpy(np.int64)
@@ -287,10 +288,10 @@ def _covered(docs: pd.DataFrame, rows: pd.DataFrame, bits: int) -> tuple[_Texts,
     return texts, np.cumsum(change[:-1]) > 0
 
 
-def _cut_texts(bits: int):
+def _cut_texts(bits: int, characters: bool):
     def make(docs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:
-            return pd.DataFrame(columns=["doc_id", "n_bytes", "spans", "kept"])
+            return pd.DataFrame(columns=_COLUMNS)
         texts, gone = _covered(docs, rows, bits)
         out = []
         for number, (start, end) in enumerate(zip(texts.starts, texts.ends, strict=True)):
@@ -298,28 +299,34 @@ def _cut_texts(bits: int):
             turns = np.diff(np.concatenate([[0], own.view(np.int8), [0]]))
             spans = np.stack([np.nonzero(turns == 1)[0], np.nonzero(turns == -1)[0]], axis=1)
             kept = texts.data[start:end]
-            kept = kept[~own] if len(spans) else kept
+            kept = (kept[~own] if len(spans) else kept).tobytes()
+            if characters and len(spans):
+                kept = kept.decode("utf-8", "ignore").encode()
             doc_id = None if texts.null[number] else int(texts.ids[number])
-            out.append((doc_id, int(end - start), spans.ravel().tolist(), kept.tobytes()))
-        frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
+            out.append((doc_id, int(end - start), spans.ravel().tolist(), kept, texts.carry[number]))
+        frame = pd.DataFrame(out, columns=_COLUMNS)
         return frame.astype({"doc_id": "Int64"})
 
     return make
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+_COLUMNS = ["doc_id", "n_bytes", "spans", "kept", "carry"]
+
+
+def remove_repeats(docs: DataFrame, carry: Column | None = None, characters: bool = False) -> DataFrame:
     """What is left of every text once the strings of earlier documents are gone.
 
     Returns a row for each document: ``doc_id``, ``n_bytes``, ``spans`` (starts
-    and ends of the removed runs, in turn) and ``kept`` (the bytes left).  A null
+    and ends of the removed runs, in turn), ``kept`` (the bytes left; with
+    ``characters`` those of whole characters) and ``carry``, a string.  A null
     text counts as empty; texts under 50 bytes stay whole; documents with equal
     ids do not remove each other's bytes, and one without an id neither removes
     nor loses any.  An empty table gives no row; further columns are not read.
     """
-    chunks = Chunks(docs)
+    chunks = Chunks(docs, carry)
     bits = chunks.bits
     first = answer(chunks.send(_grams(bits)), _shared_grams)
     second = answer(chunks.send(_contexts(bits), [first]), _least_documents)
     third = answer(chunks.send(_strings(bits), [first, second]), _earlier_strings)
-    schema = "doc_id long, n_bytes long, spans array<long>, kept binary"
-    return chunks.send(_cut_texts(bits), [first, second, third], schema)
+    schema = "doc_id long, n_bytes long, spans array<long>, kept binary, carry string"
+    return chunks.send(_cut_texts(bits, characters), [first, second, third], schema)
