@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 _KEY = "_morton_key"
 _SLOT = "_slot_{}"
 _SPREAD = "_spread"
+_SKETCH_GROUPS = 256
 _RANKABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -58,23 +59,40 @@ def quantile_bounds(
 ) -> dict[str, list[float]]:
     """Up to ``2 ** bits - 1`` ascending cut points per column, in one pass.
 
-    The result is bounded by ``bits`` and not by the data.
+    Every task makes one sketch per column.  Sketches merge in two steps: first
+    within ``_SKETCH_GROUPS`` groups of tasks, then those few with each other, so
+    that no task receives one sketch from every other.
     """
     steps = 2**bits
     shares = [i / steps for i in range(1, steps)]
     for c in columns:
         if not isinstance(df.schema[c].dataType, _RANKABLE):
             raise TypeError(f"column {c!r} cannot be ranked: {df.schema[c].dataType}")
-    sketches = df.agg(
+    size = F.lit(max(200, min(65535, 16 * steps)))
+    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group")
+    ranks = [_rank_value(df, c).alias(f"_v{i}") for i, c in enumerate(columns)]
+    numbers = range(len(columns))
+    per_group = df.select(group, *ranks).groupBy("_group").agg(
+        *(F.kll_sketch_agg_double(_finite(f"_v{i}"), size).alias(f"_s{i}") for i in numbers),
+        *(F.count(_finite(f"_v{i}")).alias(f"_n{i}") for i in numbers),
+    )
+    merged = per_group.agg(
+        *(F.kll_merge_agg_double(F.when(F.col(f"_n{i}") > 0, F.col(f"_s{i}"))).alias(f"_s{i}") for i in numbers),
+        *(F.sum(f"_n{i}").alias(f"_n{i}") for i in numbers),
+    )
+    wanted = F.array(*map(F.lit, shares))
+    cuts = merged.select(
         *(
-            F.percentile_approx(_rank_value(df, c), shares, 100 * steps).alias(f"_b{i}")
+            F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", wanted)).alias(c)
             for i, c in enumerate(columns)
         )
     ).first()
-    return {
-        c: sorted({cut for cut in sketches[i] or [] if math.isfinite(cut)})
-        for i, c in enumerate(columns)
-    }
+    return {c: sorted(set(cuts[i] or [])) for i, c in enumerate(columns)}
+
+
+def _finite(column: str) -> Column:
+    value = F.col(column)
+    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(math.inf)), value)
 
 
 def _rank_value(df: DataFrame, column: str) -> Column:

@@ -4,7 +4,8 @@
 are taken as whole units of ``10 ** -scale`` and added up as integers.  Sums of
 doubles depend on the order in which tasks finish; fixed-point sums do not, so
 reruns are bit for bit equal.  It is meant for finite values with at most
-``scale`` decimals, and stops the job on NaN, infinities and overflow.
+``scale`` decimals, and stops the job on values with more decimals, NaN,
+infinities and overflow.
 """
 
 from __future__ import annotations
@@ -22,7 +23,11 @@ _MAX_INT = 2**31 - 1
 def _total(value: Column, scale: int | None) -> Column:
     if scale is None:
         return F.sum(value)
-    units = F.rint(value * float(10**scale)).try_cast("bigint")
+    scaled = value * float(10**scale)
+    # What a double with so many decimals is off by, at most, after the product.
+    slack = F.abs(scaled) * 2.0**-50 + 1e-9
+    whole_units = F.when(F.abs(scaled - F.rint(scaled)) <= slack, F.rint(scaled))
+    units = whole_units.try_cast("bigint")
     checked = F.when(value.isNull() | units.isNotNull(), units).otherwise(
         F.raise_error(F.lit("value has no fixed-point form")).cast("bigint")
     )

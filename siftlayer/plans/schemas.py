@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "double": T.DoubleType(),
     "timestamp": T.TimestampType(),
     "boolean": T.BooleanType(),
@@ -21,19 +22,20 @@ def struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in pairs])
 
 
-# Column names, types and order of the three layers.
-BRONZE = struct(
+# Column names, types and order of trip files and of the three layers.
+TRIP_FILE = struct(
     """
     vendor_id string, tpep_pickup_datetime string, tpep_dropoff_datetime string,
     passenger_count string, trip_distance string, rate_code_id string,
     store_and_fwd_flag string, pulocation_id string, dolocation_id string,
     payment_type string, fare_amount string, extra string, mta_tax string,
     tip_amount string, tolls_amount string, improvement_surcharge string,
-    total_amount string, congestion_surcharge string,
-    _ingested_at string, _source_file string,
-    pickup_year int, pickup_month int
+    total_amount string, congestion_surcharge string
     """
 )
+LINEAGE = struct("_ingested_at string, _source_file string")
+MONTH = struct("pickup_year int, pickup_month int")
+BRONZE = T.StructType([*TRIP_FILE, *LINEAGE, *MONTH])
 SILVER = struct(
     """
     vendor_id string, passenger_count int, trip_distance double, rate_code_id int,
@@ -48,21 +50,35 @@ SILVER = struct(
     tip_percentage double
     """
 )
-GOLD = struct(
-    """
-    zone_id int, year int, month int, total_trips int, total_revenue double,
-    avg_fare double, avg_tip double, revenue_per_mile double
-    """
-)
+def gold(count_type: str = "int") -> T.StructType:
+    """Gold with trips counted as ``int``, as published, or ``bigint``."""
+    return struct(
+        f"""
+        zone_id int, year int, month int, total_trips {count_type}, total_revenue double,
+        avg_fare double, avg_tip double, revenue_per_mile double
+        """
+    )
+
 
+GOLD = gold()
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Put the columns in schema order; stop when a name or type differs."""
+EXTRA = ("drop", "carry", "refuse")
+
+
+def conform(df: DataFrame, schema: T.StructType, extra: str = "refuse") -> DataFrame:
+    """Put the columns in schema order; stop when a name or type differs.
+
+    Columns that the schema lacks are left out with ``extra="drop"`` and follow
+    the others with ``"carry"``.
+    """
+    if extra not in EXTRA:
+        raise ValueError(f"extra must be one of {EXTRA}, not {extra!r}")
     actual = {f.name: f.dataType for f in df.schema.fields}
     wanted = {f.name: f.dataType for f in schema.fields}
-    if actual != wanted:
-        differing = sorted(
-            name for name in actual.keys() | wanted.keys() if actual.get(name) != wanted.get(name)
-        )
-        raise TypeError(f"columns differ from the layer schema: {', '.join(differing)}")
-    return df.select(*schema.names)
+    more = [name for name in actual if name not in wanted]
+    differing = {name for name in wanted if actual.get(name) != wanted[name]}
+    if extra == "refuse":
+        differing.update(more)
+    if differing:
+        raise TypeError(f"columns differ from the layer schema: {', '.join(sorted(differing))}")
+    return df.select(*schema.names, *(more if extra == "carry" else ()))

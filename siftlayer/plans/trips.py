@@ -23,33 +23,30 @@ from siftlayer.operators import (
 )
 from siftlayer.operators.lineage import INGESTED_AT, SOURCE_FILE
 from siftlayer.operators.validity import all_of, non_negative, not_before, positive
-from siftlayer.plans.schemas import BRONZE, GOLD, SILVER, conform
-from siftlayer.sources.delimited import source_columns
-
-PARTITIONS = ("pickup_year", "pickup_month")
+from siftlayer.plans.schemas import BRONZE, MONTH, SILVER, TRIP_FILE, conform, gold
 
 # The text columns of a trip file, in file order.
-RAW = T.StructType([f for f in source_columns(BRONZE).fields if f.name not in PARTITIONS])
-
-FIELDS = (
-    Field("passenger_count", "int"),
-    Field("trip_distance", "double"),
-    Field("rate_code_id", "int"),
-    Field("pulocation_id", "int"),
-    Field("dolocation_id", "int"),
-    Field("payment_type", "int"),
-    Field("fare_amount", "double"),
-    Field("extra", "double"),
-    Field("mta_tax", "double"),
-    Field("tip_amount", "double"),
-    Field("tolls_amount", "double"),
-    Field("improvement_surcharge", "double"),
-    Field("total_amount", "double"),
-    Field("congestion_surcharge", "double"),
-    Field(INGESTED_AT, "timestamp"),
-    Field("pickup_datetime", "timestamp", "tpep_pickup_datetime"),
-    Field("dropoff_datetime", "timestamp", "tpep_dropoff_datetime"),
-)
+RAW = TRIP_FILE
+PARTITIONS = tuple(MONTH.names)
+
+# Silver columns that have another name in the files.
+RENAMED = {
+    "pickup_datetime": "tpep_pickup_datetime",
+    "dropoff_datetime": "tpep_dropoff_datetime",
+}
+
+
+def _fields() -> list[Field]:
+    """Every silver column that bronze holds as text under the same or another name."""
+    text = {f.name for f in BRONZE if isinstance(f.dataType, T.StringType)}
+    return [
+        Field(f.name, f.dataType.simpleString(), RENAMED.get(f.name))
+        for f in SILVER
+        if not isinstance(f.dataType, T.StringType) and RENAMED.get(f.name, f.name) in text
+    ]
+
+
+FIELDS = tuple(_fields())
 
 # Two records with the same values here are the same trip.
 TRIP_KEY = (
@@ -114,15 +111,20 @@ def unique(trips: DataFrame, keep: str = "first") -> DataFrame:
     return deduplicate(trips, TRIP_KEY, keep, order_by=(INGESTED_AT, SOURCE_FILE))
 
 
-def to_silver(bronze: DataFrame, on_error: str = "null", keep: str = "first") -> DataFrame:
+def to_silver(
+    bronze: DataFrame, on_error: str = "null", keep: str = "first", extra: str = "drop"
+) -> DataFrame:
     """Typed, valid, unique and derived trips.
 
     Year, month and the derived columns depend only on the row, so they are
     computed after the shuffle of the dedup and do not travel through it.
+    Columns that later files brought are dropped, or carried to the end with
+    ``extra="carry"``.
     """
-    rows = unique(valid(apply_types(bronze.drop(*PARTITIONS), FIELDS, on_error)), keep)
+    known = conform(bronze, BRONZE, extra).drop(*PARTITIONS)
+    rows = unique(valid(apply_types(known, FIELDS, on_error)), keep)
     calendar = add_month_partitions(rows, F.col("pickup_datetime"), *PARTITIONS)
-    return conform(derived(calendar), SILVER)
+    return conform(derived(calendar), SILVER, extra)
 
 
 def counts(bronze: DataFrame, on_error: str = "null") -> DataFrame:
@@ -143,8 +145,13 @@ def counts(bronze: DataFrame, on_error: str = "null") -> DataFrame:
     )
 
 
-def to_gold(silver: DataFrame, scale: int | None = None) -> DataFrame:
-    """Trips, revenue, average fare and tip, revenue per mile by zone and month."""
+def to_gold(
+    silver: DataFrame, scale: int | None = None, count_type: str = "int"
+) -> DataFrame:
+    """Trips, revenue, average fare and tip, revenue per mile by zone and month.
+
+    ``count_type="bigint"`` is for groups beyond 2^31 - 1 trips.
+    """
     metrics = summarise(
         silver,
         {
@@ -152,7 +159,7 @@ def to_gold(silver: DataFrame, scale: int | None = None) -> DataFrame:
             "year": F.col("pickup_year"),
             "month": F.col("pickup_month"),
         },
-        row_count("total_trips"),
+        row_count("total_trips", count_type),
         total(F.col("total_amount"), "total_revenue", scale),
         mean(F.col("fare_amount"), "avg_fare", scale),
         mean(F.col("tip_amount"), "avg_tip", scale),
@@ -160,4 +167,4 @@ def to_gold(silver: DataFrame, scale: int | None = None) -> DataFrame:
             F.col("total_amount"), F.col("trip_distance"), "revenue_per_mile", scale
         ),
     )
-    return conform(metrics, GOLD)
+    return conform(metrics, gold(count_type))

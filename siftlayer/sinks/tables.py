@@ -6,6 +6,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,10 +17,14 @@ from siftlayer.operators.layout import (
     order_by_range,
     quantile_bounds,
 )
-from siftlayer.tuning import tuned_for
+from siftlayer.sources.tables import table_details
+from siftlayer.tuning import Width, file_size, tuned_for
 
 log = logging.getLogger(__name__)
 
+# Below a table's folder; readers of the folder itself skip names like this.
+_VERSIONS = "/_versions/"
+
 
 def _default_location(spark: SparkSession, name: str) -> str:
     *qualifier, table = name.split(".")
@@ -27,6 +32,49 @@ def _default_location(spark: SparkSession, name: str) -> str:
     return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _nullable(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
+# Properties that a statement of their own sets.
+_RESERVED = ("comment", "external", "location", "owner", "provider")
+
+
+# Appending.
+
+
+def _register_folder(
+    spark: SparkSession, df: DataFrame, name: str, partition_by: Sequence[str], location: str
+) -> None:
+    """Make a table of the files that already lie in a folder, if there are any."""
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(location).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return
+        raise
+    missing = [c for c in partition_by if c not in found.names]
+    if missing:
+        raise ValueError(f"the files in {location} are not partitioned by {missing}")
+    fields = [f for f in found.fields if f.name not in partition_by]
+    fields += [df.schema[c] for c in partition_by]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = ", ".join(f"`{c}`" for c in partition_by)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({parts})"
+        f" LOCATION {_quoted(location)}"
+    )
+    spark.catalog.recoverPartitions(name)
+
+
 def _grow_schema(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Add the columns the table lacks, pad the ones the frame lacks."""
     existing = {f.name.lower(): f for f in spark.table(name).schema.fields}
@@ -58,60 +106,127 @@ def append_partitioned(
     partition_by: Sequence[str],
     location: str | None = None,
     rebalance: bool | None = None,
+    file_bytes: int | None = None,
+    mode: str = "append",
 ) -> None:
     """Append rows to a partitioned table, creating it on first use.
 
-    Columns may come and go between appends: missing values read as null.  The
-    write needs no shuffle; each task writes one file per partition it holds.
-    ``rebalance`` adds one shuffle for fewer and larger files: it gathers the
-    rows of a partition and lets AQE split partitions that are too large for
-    one task.
+    Columns may come and go between appends: missing values read as null.  A
+    folder that holds files but is no table yet is registered with them first;
+    existing files are never removed.  The write needs no shuffle; each task
+    writes one file per partition it holds.  ``rebalance`` adds one shuffle for
+    fewer and larger files: it gathers the rows of a partition and lets AQE split
+    partitions beyond ``file_bytes`` of shuffled rows.  ``mode="overwrite"``
+    replaces all contents instead, as :func:`replace_table` does.
     """
     spark = df.sparkSession
-    rows = _grow_schema(spark, df, name) if spark.catalog.tableExists(name) else df
-    if rebalance:
-        rows = rows.hint("rebalance", *partition_by)
-    (
-        rows.write.format("parquet")
-        .mode("append")
-        .partitionBy(*partition_by)
-        .option("path", location or _default_location(spark, name))
-        .saveAsTable(name)
-    )
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
+    if mode == "overwrite":
+        with file_size(spark, file_bytes):
+            replace_table(rows, name, location, partition_by)
+        return
+    if mode != "append":
+        raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
+    folder = (location or _default_location(spark, name)).rstrip("/")
+    if not spark.catalog.tableExists(name):
+        _register_folder(spark, df, name, partition_by, folder)
+    exists = spark.catalog.tableExists(name)
+    if exists:
+        rows = _grow_schema(spark, df, name)
+        rows = rows.hint("rebalance", *partition_by) if rebalance else rows
+    writer = rows.write.format("parquet").mode("append").partitionBy(*partition_by)
+    with file_size(spark, file_bytes):
+        (writer if exists else writer.option("path", folder)).saveAsTable(name)
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+# Replacing.
 
 
-def _switch(spark: SparkSession, name: str, schema: T.StructType, folder: str) -> None:
-    schema = _nullable(schema)
+def _base(spark: SparkSession, name: str, location: str | None) -> str:
+    """The folder below which the versions of a table go.
+
+    It is the given one, or where the table's versions lie already.  A managed
+    table's own folder goes when the table is dropped, so its versions lie beside it.
+    """
+    if location is not None:
+        base = location.rstrip("/")
+    elif not spark.catalog.tableExists(name):
+        return _default_location(spark, name)
+    else:
+        base = table_details(spark, name)["Location"].partition(_VERSIONS)[0].rstrip("/")
     if spark.catalog.tableExists(name):
-        if (
-            spark.catalog.getTable(name).tableType == "EXTERNAL"
-            and _nullable(spark.table(name).schema) == schema
-        ):
-            quoted = folder.replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
-            spark.catalog.refreshTable(name)
-            return
-        spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=folder, source="parquet", schema=schema)
+        details = table_details(spark, name)
+        own = details["Location"].rstrip("/")
+        inside = base == own or base.startswith(f"{own}/") or base == own.partition(":")[2]
+        if details["Type"] == "MANAGED" and inside:
+            return f"{base}_external"
+    return base
 
 
-def replace_table(df: DataFrame, name: str, location: str | None = None) -> str:
+def _describe(spark: SparkSession, old: str, new: str) -> None:
+    """Carry the comment, the properties and the column comments over to another table."""
+    comment = table_details(spark, old).get("Comment")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {new} IS {_quoted(comment)}")
+    kept = [
+        f"{_quoted(row['key'])} = {_quoted(row['value'])}"
+        for row in spark.sql(f"SHOW TBLPROPERTIES {old}").collect()
+        if not row["key"].startswith(("transient_", "spark.sql.")) and row["key"] not in _RESERVED
+    ]
+    if kept:
+        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({', '.join(kept)})")
+    columns = set(spark.table(new).columns)
+    for column in spark.catalog.listColumns(old):
+        if column.description and column.name in columns:
+            spark.sql(
+                f"ALTER TABLE {new} ALTER COLUMN `{column.name}` COMMENT {_quoted(column.description)}"
+            )
+
+
+def replace_table(
+    df: DataFrame,
+    name: str,
+    location: str | None = None,
+    partition_by: Sequence[str] | None = None,
+) -> str:
     """Replace contents and schema of a table; return the folder of the new version.
 
-    Rows go to a new folder first and the catalog entry moves over once they
-    are all there.  A failed write leaves the table as it was, readers that
-    started on the old version finish on it, and ``df`` may read the table it
-    replaces.  Old folders stay for the caller's retention job.
+    Rows go to a new folder first, and only once they are all there does the name
+    point to them.  A failed write leaves the table as it was, and ``df`` may read
+    the table it replaces.  Comments and properties stay.  ``partition_by`` left
+    out keeps the table's partitioning, as far as the rows have those columns.
+
+    For an unpartitioned external table of the same schema the switch is one
+    change of its location, and readers that started before finish on the old
+    version.  In all other cases the old entry is dropped and the new one renamed:
+    between the two the name is absent.  A managed table loses its old files with
+    its entry and is external afterwards.  Old folders of external tables stay for
+    the caller's retention job.
     """
     spark = df.sparkSession
-    base = (location or _default_location(spark, name)).rstrip("/")
-    folder = f"{base}/version={uuid.uuid4().hex}"
-    df.write.format("parquet").mode("errorifexists").save(folder)
-    _switch(spark, name, df.schema, folder)
+    exists = spark.catalog.tableExists(name)
+    if partition_by is None:
+        partition_by = _partition_columns(spark, name) if exists else []
+        partition_by = [c for c in partition_by if c in df.columns]
+    folder = f"{_base(spark, name, location)}{_VERSIONS}{uuid.uuid4().hex}"
+    plain = exists and not partition_by and not _partition_columns(spark, name)
+    if (
+        plain
+        and table_details(spark, name)["Type"] == "EXTERNAL"
+        and table_details(spark, name)["Provider"].lower() == "parquet"
+        and _nullable(spark.table(name).schema) == _nullable(df.schema)
+    ):
+        df.write.format("parquet").mode("errorifexists").save(folder)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+        spark.catalog.refreshTable(name)
+    else:
+        fresh = f"{name}_{uuid.uuid4().hex}"
+        writer = df.write.format("parquet").option("path", folder)
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(fresh)
+        if exists:
+            _describe(spark, name, fresh)
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     log.info("table %s now reads %s", name, folder)
     return folder
 
@@ -124,6 +239,7 @@ def recluster_table(
     bits: int = 8,
     location: str | None = None,
     partitions: int | None = None,
+    width: Width = Width(),
 ) -> str:
     """Rewrite a table so that its files cover narrow ranges of ``columns``.
 
@@ -139,5 +255,5 @@ def recluster_table(
         placed = order_by_morton_key(df, columns, bounds, spread, partitions)
     else:
         raise ValueError(f"curve must be 'morton' or 'linear', not {curve!r}")
-    with tuned_for(df):
+    with tuned_for(df, width=width):
         return replace_table(placed, name, location)

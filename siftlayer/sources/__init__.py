@@ -1,6 +1,6 @@
 """Scans: delimited text with a fixed schema, and catalog tables."""
 
-from siftlayer.sources.delimited import read_first_available, read_text_columns
-from siftlayer.sources.tables import read_table
+from siftlayer.sources.delimited import TextSource, locate
+from siftlayer.sources.tables import read_snapshot, read_table
 
-__all__ = ["read_first_available", "read_table", "read_text_columns"]
+__all__ = ["TextSource", "locate", "read_snapshot", "read_table"]

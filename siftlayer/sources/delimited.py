@@ -2,77 +2,57 @@
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Sequence
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-log = logging.getLogger(__name__)
 
+@dataclass(frozen=True)
+class TextSource:
+    """Delimited files with a header line: a name to speak of them by, and where they lie.
 
-def source_columns(schema: T.StructType) -> T.StructType:
-    """The part of a layer schema that comes from the files.
-
-    Columns that start with an underscore are added on ingest.
+    With ``check_header`` a file whose header names differ from the schema stops
+    the scan; otherwise columns are taken by position.
     """
-    return T.StructType([f for f in schema.fields if not f.name.startswith("_")])
-
 
-def read_text_columns(
-    spark: SparkSession, path: str, schema: T.StructType, header_check: bool = False
-) -> DataFrame:
-    """Scan CSV files with a header line, without any inference pass.
+    name: str
+    path: str
+    check_header: bool = False
 
-    Columns are taken by position: short lines are padded with nulls, surplus
-    fields are dropped, blanks are null.  With ``header_check`` a file whose
-    header names differ from the schema stops the scan instead.
-    """
-    return (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", not header_check)
-        .schema(schema)
-        .csv(path)
-    )
+    def scan(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """All files, without any inference pass.
 
+        Short lines are padded with nulls, surplus fields are dropped, blanks are
+        null.
+        """
+        reader = spark.read.schema(schema).options(
+            header=True, mode="PERMISSIVE", enforceSchema=not self.check_header
+        )
+        return reader.csv(self.path)
 
-def candidate_paths(
-    defaults: Sequence[str], base: str = "", pattern: str = "", configured: str = ""
-) -> list[str]:
-    """Where to look for the source, most specific instruction first.
-
-    ``base`` and ``pattern`` count only together; then ``configured``; then the
-    defaults in order.
-    """
-    if base and pattern:
-        return [f"{base.rstrip('/')}/{pattern}"]
-    if configured.strip():
-        return [configured.strip()]
-    return list(defaults)
+    def present(self, spark: SparkSession) -> bool:
+        """Whether there is a file to read; at most one line is looked at."""
+        try:
+            lines = spark.read.text(self.path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        lines.limit(1).collect()
+        return True
 
 
-def read_first_available(
-    spark: SparkSession,
-    candidates: Sequence[str],
-    schema: T.StructType,
-    header_check: bool = False,
-) -> DataFrame:
-    """Scan the first candidate path that exists.
+def locate(spark: SparkSession, sources: Iterable[TextSource]) -> TextSource:
+    """The first source, in the order given, that has files.
 
-    Only a missing path moves on to the next candidate; any other error is
-    raised as it is.  At most one row is read to find out.
+    An error other than a missing path is raised as it is.
     """
-    missing: Exception | None = None
-    for path in candidates:
-        try:
-            df = read_text_columns(spark, path, schema, header_check)
-            df.take(1)
-            return df
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            log.warning("source path not found: %s", path)
-            missing = error
-    raise ValueError(f"no source path found among {list(candidates)}") from missing
+    absent = []
+    for source in sources:
+        if source.present(spark):
+            return source
+        absent.append(f"{source.name} ({source.path})")
+    raise FileNotFoundError(f"no source has files: {', '.join(absent) or 'none given'}")

@@ -8,3 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Scan a table by its one- to three-part name."""
     return spark.read.table(name)
+
+
+def table_details(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog says of a table: ``Location``, ``Type``, ``Provider`` and so on."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    titles = [row["col_name"] for row in rows]
+    start = titles.index("# Detailed Table Information")
+    return {row["col_name"]: row["data_type"] for row in rows[start + 1 :] if row["col_name"]}
+
+
+def read_snapshot(spark: SparkSession, name: str) -> DataFrame:
+    """A parquet table as it is now: every action on the frame reads the same files.
+
+    The files below the table's folder are listed once, when the frame is made.
+    """
+    location = table_details(spark, name)["Location"]
+    return spark.read.schema(spark.table(name).schema).parquet(location)

@@ -15,6 +15,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +24,8 @@ log = logging.getLogger(__name__)
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 METHOD_BYTES = "8000"
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 TARGET_BYTES = 512 * 1024**2
-# Beyond this the bookkeeping of map outputs on the driver costs more than
-# larger partitions do: aggregates by sorting spill, they do not fail.
-MOST_PARTITIONS = 100_000
 _NO_ESTIMATE = 2**60
 
 
@@ -38,11 +37,41 @@ def scanned_bytes(df: DataFrame) -> int | None:
     return size if size < _NO_ESTIMATE else None
 
 
-def shuffle_width(size: int | None, at_least: int, target: int = TARGET_BYTES) -> int:
-    """Partitions of about ``target`` bytes, never fewer than ``at_least``."""
+def shuffle_width(
+    size: int | None, at_least: int, target: int = TARGET_BYTES, most: int | None = None
+) -> int:
+    """Partitions of about ``target`` bytes, never fewer than ``at_least``.
+
+    ``most`` bounds them where the driver could not keep the books of more; the
+    partitions then get larger.
+    """
     if size is None:
         return at_least
-    return max(at_least, min(MOST_PARTITIONS, -(-size // target)))
+    wanted = -(-size // target)
+    return max(at_least, wanted if most is None else min(most, wanted))
+
+
+@dataclass(frozen=True)
+class Width:
+    """How wide the shuffles of a job get.
+
+    ``partitions`` says it outright.  Else it follows ``input_bytes``, or Spark's
+    estimate where that is not given.
+    """
+
+    partitions: int | None = None
+    input_bytes: int | None = None
+    target_bytes: int = TARGET_BYTES
+    most: int | None = None
+
+    def of(self, df: DataFrame, growth: float, at_least: int) -> int:
+        if self.partitions is not None:
+            return self.partitions
+        size = scanned_bytes(df) if self.input_bytes is None else self.input_bytes
+        if size is None:
+            log.warning("no size estimate for the input: %s shuffle partitions", at_least)
+            return at_least
+        return shuffle_width(int(size * growth), at_least, self.target_bytes, self.most)
 
 
 def limit_method_size(spark: SparkSession) -> None:
@@ -51,23 +80,45 @@ def limit_method_size(spark: SparkSession) -> None:
 
 
 @contextmanager
-def tuned_for(df: DataFrame, growth: float = 1.0) -> Iterator[None]:
+def settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """Run a block with session settings; ``__`` stands for the dots of a name."""
+    wanted = {key.replace("__", "."): value for key, value in values.items()}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _key(name: str) -> str:
+    return name.replace(".", "__")
+
+
+@contextmanager
+def tuned_for(df: DataFrame, growth: float = 1.0, width: Width = Width()) -> Iterator[None]:
     """Run a block with settings that suit a job over ``df``.
 
     Shuffles get wide enough for its size times ``growth``; the session's own
-    width is raised where needed, never lowered.  All settings are put back.
+    width is raised where needed, and lowered only by ``width.partitions``.  All
+    settings are put back.
     """
     spark: SparkSession = df.sparkSession
-    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, METHOD_LIMIT)}
-    at_least = int(before[SHUFFLE_PARTITIONS])
-    size = scanned_bytes(df)
-    wanted = shuffle_width(None if size is None else int(size * growth), at_least)
+    at_least = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    wanted = width.of(df, growth, at_least)
     if wanted != at_least:
         log.info("shuffle partitions for this job: %s instead of %s", wanted, at_least)
-    try:
-        spark.conf.set(SHUFFLE_PARTITIONS, wanted)
-        limit_method_size(spark)
+    with settings(spark, **{_key(SHUFFLE_PARTITIONS): wanted, _key(METHOD_LIMIT): METHOD_BYTES}):
+        yield
+
+
+@contextmanager
+def file_size(spark: SparkSession, target: int | None) -> Iterator[None]:
+    """Run a block in which AQE aims at shuffle partitions of ``target`` bytes, if given."""
+    with settings(spark, **({} if target is None else {_key(ADVISORY_BYTES): target})):
         yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)

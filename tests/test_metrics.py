@@ -59,6 +59,17 @@ def test_fixed_point_refuses_what_it_cannot_hold(spark, ansi, flag, bad):
         _one(spark, [(bad, 1.0), (1.0, 1.0)], lambda v, d: total(v, "s", 2))
 
 
+@pytest.mark.parametrize("scale, value", [(4, 0.00004), (2, 1.005), (0, 0.5), (2, 1e9 + 0.001)])
+def test_fixed_point_refuses_more_decimals(spark, scale, value):
+    with pytest.raises(Exception, match="fixed-point"):
+        _one(spark, [(value, 1.0)], lambda v, d: total(v, "s", scale))
+
+
+@pytest.mark.parametrize("value", [0.07, 1234567.8901, 9e9 + 0.0001, -0.0003, 0.0])
+def test_fixed_point_takes_its_decimals(spark, value):
+    assert _one(spark, [(value, 1.0)], lambda v, d: total(v, "s", 4)) == (value,)
+
+
 @pytest.mark.parametrize("flag", [True, False])
 def test_fixed_point_overflow_stops_the_job(spark, ansi, flag):
     ansi(flag)

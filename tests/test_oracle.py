@@ -7,9 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +58,11 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
     assert _comparable(actual, df.columns) == _comparable(expected, names)
 
 
+def test_all_are_registered():
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert ORACLE.items() <= contract.oracle_sql().items()
+
+
 def test_entry_returns_rows(spark):
     df = contract.entry(spark)
     assert df.columns == [

@@ -75,3 +75,21 @@ def test_typing_a_trip_compiles(spark, sf_dir, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_sketches_meet_in_two_steps(spark, sf_dir):
+    """No exchange carries one sketch of every task into a single partition."""
+    from siftlayer.operators import layout
+
+    plans = []
+    frame = type(spark.range(0))
+    first = frame.first
+    try:
+        frame.first = lambda self: (plans.append(_plan(self)), first(self))[1]
+        bounds = layout.quantile_bounds(inputs.lineitem(spark, sf_dir), ["l_quantity"], 4)
+    finally:
+        frame.first = first
+    (plan,) = plans
+    assert len(bounds["l_quantity"]) == 15
+    single = plan.index("SinglePartition")
+    assert "Exchange hashpartitioning(_group" in plan[single:]

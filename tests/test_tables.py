@@ -3,20 +3,20 @@
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from siftlayer import tuning
 from siftlayer.operators.layout import file_position, order_by_range, quantile_bounds
 from siftlayer.plans import jobs, trips
-from siftlayer.plans.schemas import BRONZE, GOLD, SILVER
+from siftlayer.plans.jobs import Stage
+from siftlayer.plans.schemas import BRONZE, GOLD, SILVER, TRIP_FILE
 from siftlayer.sinks import append_partitioned, recluster_table, replace_table
-from siftlayer.sources import read_first_available, read_text_columns
-from siftlayer.sources.delimited import candidate_paths, source_columns
+from siftlayer.sources import TextSource, locate, read_snapshot
+from siftlayer.sources.tables import table_details
 from siftlayer.workspace import shared_folder
-from tests.fixtures import NEGATIVE_FARE, VALID, bronze, trip
+from tests.fixtures import NEGATIVE_FARE, VALID, arrived, bronze, trip
 
-AB = source_columns(BRONZE.__class__(BRONZE.fields[:2] + BRONZE.fields[18:20]))
+AB = TRIP_FILE[:2]
 
 
 @pytest.fixture
@@ -42,38 +42,33 @@ def _csv(folder, text, file="a.csv"):
 def test_columns_go_by_position_and_ragged_lines_are_repaired(spark, tmp_path):
     path = _csv(tmp_path / "in", 'x,y\na,1\nshort\nlong,2,surplus\n,\n"",3\n')
     assert AB.names == ["vendor_id", "tpep_pickup_datetime"]
-    rows = [tuple(r) for r in read_text_columns(spark, path, AB).collect()]
+    rows = [tuple(r) for r in TextSource("in", path).scan(spark, AB).collect()]
     assert rows == [("a", "1"), ("short", None), ("long", "2"), (None, None), (None, "3")]
 
 
 def test_header_check_refuses_other_columns(spark, tmp_path):
     path = _csv(tmp_path / "in", "tpep_pickup_datetime,vendor_id\n1,a\n")
-    assert read_text_columns(spark, path, AB).first()[0] == "1"
+    assert TextSource("in", path).scan(spark, AB).first()[0] == "1"
     with pytest.raises(Exception, match="(?i)header"):
-        read_text_columns(spark, path, AB, header_check=True).collect()
+        TextSource("in", path, check_header=True).scan(spark, AB).collect()
 
 
-def test_candidates_by_precedence():
-    defaults = ["/d/1", "/d/2"]
-    assert candidate_paths(defaults, "/base/", "*.csv", "/env") == ["/base/*.csv"]
-    assert candidate_paths(defaults, "/base", "", " /env ") == ["/env"]
-    assert candidate_paths(defaults, "", "*.csv") == defaults
-
-
-def test_first_existing_candidate_wins(spark, tmp_path):
-    one = _csv(tmp_path / "one", "v,t\na,1\n")
-    two = _csv(tmp_path / "two", "v,t\nb,2\n")
-    absent = f"{tmp_path}/absent/*.csv"
-    assert read_first_available(spark, [absent, two, one], AB).first()[0] == "b"
-    with pytest.raises(ValueError, match="absent") as failure:
-        read_first_available(spark, [absent], AB)
-    assert isinstance(failure.value.__cause__, AnalysisException)
+def test_the_first_source_with_files_is_read(spark, tmp_path):
+    one = TextSource("one", _csv(tmp_path / "one", "v,t\na,1\n"))
+    two = TextSource("two", _csv(tmp_path / "two", "v,t\nb,2\n"))
+    absent = TextSource("absent", f"{tmp_path}/absent/*.csv")
+    assert locate(spark, [absent, two, one]) is two
+    assert two.scan(spark, AB).first()[0] == "b"
+    with pytest.raises(FileNotFoundError, match="absent"):
+        locate(spark, [absent])
+    with pytest.raises(FileNotFoundError, match="none given"):
+        locate(spark, [])
 
 
 def test_other_errors_do_not_move_on(spark, tmp_path):
-    good = _csv(tmp_path / "good", "v,t\na,1\n")
+    good = TextSource("good", _csv(tmp_path / "good", "v,t\na,1\n"))
     with pytest.raises(Exception, match="(?i)scheme"):
-        read_first_available(spark, ["nosuchscheme://x/*.csv", good], AB)
+        locate(spark, [TextSource("odd", "nosuchscheme://x/*.csv"), good])
 
 
 # --- sinks -----------------------------------------------------------------
@@ -95,14 +90,14 @@ def test_append_grows_and_pads_columns(spark, name, tmp_path):
 @pytest.mark.parametrize("rebalance", [None, True])
 def test_unreadable_pickups_go_to_the_null_partition(spark, name, tmp_path, rebalance):
     rows = bronze(spark, VALID, trip(tpep_pickup_datetime="soon"))
-    arrived = trips.to_bronze(rows.select(*trips.RAW.names))
+    delivery = trips.to_bronze(rows.select(*trips.RAW.names))
     location = tmp_path / name
-    append_partitioned(arrived, name, trips.PARTITIONS, str(location), rebalance)
+    append_partitioned(delivery, name, trips.PARTITIONS, str(location), rebalance)
     assert (location / "pickup_year=__HIVE_DEFAULT_PARTITION__").exists()
     table = spark.table(name)
     assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in BRONZE]
     assert table.filter("pickup_year is null").count() == 1
-    assert table.filter("pickup_year = 2024 and pickup_month = 1").count() == 1
+    assert table.filter("pickup_year = 2025 and pickup_month = 3").count() == 1
 
 
 def test_rebalance_writes_one_file_per_small_partition(spark, tmp_path):
@@ -132,10 +127,116 @@ def test_replace_changes_schema_and_keeps_readers_and_failures_safe(spark, name,
 
 def test_default_location_is_in_the_database_folder(spark, name):
     folder = replace_table(spark.range(1), name)
-    assert f"/{name}/version=" in folder
+    assert f"/{name}/_versions/" in folder
     assert spark.table(name).count() == 1
 
 
+def _start(spark, name, tmp_path, state):
+    """A table with two rows in one of the states in which a sink may find it."""
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    writer = rows.write.format("parquet")
+    if "partitioned" in state:
+        writer = writer.partitionBy("p")
+    if "external" in state:
+        writer = writer.option("path", str(tmp_path / f"{name}_own"))
+    if state != "missing":
+        writer.saveAsTable(name)
+    return rows
+
+
+STATES = ["missing", "managed", "external", "managed partitioned", "external partitioned"]
+
+
+@pytest.mark.parametrize("state", STATES)
+@pytest.mark.parametrize("wider", [False, True])
+def test_replace_from_every_state(spark, name, tmp_path, state, wider):
+    rows = _start(spark, name, tmp_path, state)
+    new = rows.limit(1).withColumn("more", F.lit(1.5)) if wider else rows.limit(1)
+    for _ in range(2):
+        replace_table(new, name)
+        assert sorted(spark.table(name).columns) == sorted(new.columns)
+        assert spark.table(name).select(new.columns).collect() == new.collect()
+        spark.catalog.refreshTable(name)
+        assert spark.table(name).count() == 1
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    assert parts == (["p"] if "partitioned" in state else [])
+    if "external" in state:  # it stays where it was
+        assert f"{tmp_path}/{name}_own/_versions/" in table_details(spark, name)["Location"]
+        assert len(list((tmp_path / f"{name}_own").rglob("*.parquet"))) >= 3
+
+
+@pytest.mark.parametrize("state", STATES[1:])
+def test_recluster_and_failed_replace_from_every_state(spark, name, tmp_path, state):
+    rows = _start(spark, name, tmp_path, state)
+    with pytest.raises(Exception, match="broken"):
+        replace_table(rows.withColumn("id", F.raise_error(F.lit("broken")).cast("int")), name)
+    assert spark.table(name).count() == 2
+    recluster_table(spark, name, ["id"])
+    assert {tuple(r) for r in spark.table(name).select("id", "p").collect()} == {(1, "a"), (2, "b")}
+
+
+@pytest.mark.parametrize("state", STATES)
+def test_append_never_removes_files(spark, name, tmp_path, state):
+    if state in ("managed", "external"):
+        pytest.skip("append_partitioned works on partitioned tables")
+    rows = _start(spark, name, tmp_path, state)
+    for number in (1, 2):
+        append_partitioned(rows, name, ["p"])
+        assert spark.table(name).count() == 2 * number + (0 if state == "missing" else 2)
+
+
+def test_append_to_a_folder_that_is_no_table(spark, name, tmp_path):
+    location = str(tmp_path / name)
+    rows = spark.createDataFrame([(1, 7), (2, 8)], "id int, p int")
+    append_partitioned(rows.withColumn("more", F.lit("x")), name, ["p"], location)
+    spark.sql(f"DROP TABLE {name}")
+    append_partitioned(rows.where("p = 8"), name, ["p"], location)
+    assert spark.table(name).count() == 3 and spark.table(name).where("p = 7").count() == 1
+    plain = str(tmp_path / "plain")
+    rows.write.parquet(plain)
+    with pytest.raises(ValueError, match="not partitioned"):
+        append_partitioned(rows.withColumnRenamed("p", "q"), f"{name}_2", ["q"], plain)
+
+
+def test_overwrite_mode_and_then_append(spark, name, tmp_path):
+    rows = spark.createDataFrame([(1, 7), (2, 8)], "id int, p int")
+    location = str(tmp_path / name)
+    for mode, count in (("append", 2), ("append", 4), ("overwrite", 2), ("append", 4)):
+        append_partitioned(rows, name, ["p"], location, mode=mode)
+        assert spark.table(name).count() == count
+    with pytest.raises(ValueError, match="mode"):
+        append_partitioned(rows, name, ["p"], location, mode="ignore")
+
+
+def test_replace_keeps_comments_and_properties(spark, name, tmp_path):
+    _start(spark, name, tmp_path, "external")
+    spark.sql(f"COMMENT ON TABLE {name} IS 'the owner''s words'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('team' = 'harbour')")
+    spark.sql(f"ALTER TABLE {name} ALTER COLUMN id COMMENT 'a number'")
+    replace_table(spark.range(3).withColumn("x", F.lit(1)), name)
+    details = table_details(spark, name)
+    assert details["Comment"] == "the owner's words" and "team=harbour" in details["Table Properties"]
+    assert {c.name: c.description for c in spark.catalog.listColumns(name)}["id"] == "a number"
+
+
+def test_readers_of_the_folder_do_not_see_versions(spark, name, tmp_path):
+    location = str(tmp_path / name)
+    for count in (1, 2):
+        replace_table(spark.range(count), name, location)
+    with pytest.raises(Exception, match="(?i)infer"):
+        spark.read.parquet(location)
+
+
+def test_rebalanced_files_follow_the_target_size(spark, tmp_path):
+    df = spark.range(0, 200_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("x"), F.lit(1).alias("p"))
+    files = {}
+    for size in (1 << 20, 64 << 20):
+        name = f"t_{uuid.uuid4().hex}"
+        append_partitioned(df, name, ["p"], str(tmp_path / name), True, size)
+        files[size] = len(list((tmp_path / name).rglob("*.parquet")))
+    assert files[1 << 20] >= 4 and files[64 << 20] == 1
+
+
 # --- layout ----------------------------------------------------------------
 
 
@@ -210,13 +311,16 @@ def test_file_position_is_the_same_on_every_attempt(spark, tmp_path):
 def _trip_file(tmp_path, *rows):
     lines = [",".join(trips.RAW.names)]
     lines += [",".join(row[c] or "" for c in trips.RAW.names) for row in rows]
-    return _csv(tmp_path / "in", "\n".join(lines) + "\n")
+    return TextSource("trips", _csv(tmp_path / "in", "\n".join(lines) + "\n"))
 
 
 def test_stages_one_by_one(spark, layers, tmp_path):
-    files = _trip_file(tmp_path, VALID, NEGATIVE_FARE, trip("V1", pulocation_id=""))
-    report = jobs.run(spark, layers, [files], "bronze, BRONZE,,silver,gold")
-    assert report.rows == {"silver": (6, 2)}
+    files = _trip_file(tmp_path, VALID, NEGATIVE_FARE, trip(pulocation_id=""))
+    report = jobs.run(spark, layers, [files], [Stage.BRONZE, *Stage])
+    assert report.last(Stage.SILVER).rows == (6, 2)
+    assert [(o.stage.value, o.done) for o in report.outcomes] == [
+        ("bronze", True), ("bronze", True), ("silver", True), ("gold", True)
+    ]
     for table, schema in ((layers.bronze, BRONZE), (layers.silver, SILVER), (layers.gold, GOLD)):
         assert [(f.name, f.dataType) for f in spark.table(table).schema] == [
             (f.name, f.dataType) for f in schema
@@ -224,16 +328,47 @@ def test_stages_one_by_one(spark, layers, tmp_path):
     source = spark.table(layers.silver).select("_source_file").distinct().collect()
     assert [r[0].endswith("/in/a.csv") for r in source] == [True]
     gold = {tuple(r) for r in spark.table(layers.gold).collect()}
-    assert gold == {
-        (10, 2024, 1, 1, 13.3, 10.0, 2.0, 13.3 / 3.0),
-        (None, 2024, 1, 1, 13.3, 10.0, 2.0, 13.3 / 3.0),
-    }
+    assert gold == {(zone, 2025, 3, 1, 26.0, 16.0, 6.0, 4.0) for zone in (77, None)}
 
 
-def test_a_failed_stage_stops_the_run(spark, layers, tmp_path):
-    with pytest.raises(ValueError, match="no source path"):
-        jobs.run(spark, layers, [f"{tmp_path}/absent.csv"])
-    assert not spark.catalog.tableExists(layers.silver)
+def test_a_failed_stage_stops_the_run_and_is_reported(spark, layers, tmp_path):
+    files = _trip_file(tmp_path, trip(fare_amount="free"))
+    report = jobs.Report()
+    with pytest.raises(Exception, match="fare_amount"):
+        jobs.run(spark, layers, [files], options=jobs.Options(on_error="fail"), report=report)
+    assert [(o.stage, o.done) for o in report.outcomes] == [
+        (Stage.BRONZE, True), (Stage.SILVER, False)
+    ]
+    assert report.last(Stage.SILVER).error is not None and report.last(Stage.GOLD) is None
+    assert not spark.catalog.tableExists(layers.gold)
+    with pytest.raises(FileNotFoundError, match="absent"):
+        jobs.run(spark, layers, [TextSource("absent", f"{tmp_path}/absent.csv")])
+
+
+def test_silver_after_a_delivery_with_one_more_column(spark, layers, tmp_path):
+    first = arrived(spark, VALID)
+    for batch in (first, first.withColumn("feed", F.lit("b"))):
+        append_partitioned(batch, layers.bronze, trips.PARTITIONS, layers.location("bronze"))
+    assert jobs.refine(spark, layers) == (2, 1)
+    assert spark.table(layers.silver).columns == SILVER.names
+    jobs.refine(spark, layers, jobs.Options(extra="carry"))
+    assert spark.table(layers.silver).columns == [*SILVER.names, "feed"]
+    with pytest.raises(TypeError, match="feed"):
+        jobs.refine(spark, layers, jobs.Options(extra="refuse"))
+
+
+def test_a_snapshot_does_not_see_later_files(spark, name, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "v string, p int")
+    append_partitioned(rows, name, ["p"], str(tmp_path / name))
+    now = read_snapshot(spark, name)
+    append_partitioned(rows, name, ["p"], str(tmp_path / name))
+    assert (now.count(), spark.table(name).count()) == (1, 2)
+
+
+def test_bigint_counts_reach_gold(spark, layers, tmp_path):
+    files = _trip_file(tmp_path, VALID)
+    jobs.run(spark, layers, [files], options=jobs.Options(count_type="bigint"))
+    assert dict(spark.table(layers.gold).dtypes)["total_trips"] == "bigint"
 
 
 def test_strict_jobs_stop_on_bad_text(spark, layers, tmp_path):
@@ -244,19 +379,13 @@ def test_strict_jobs_stop_on_bad_text(spark, layers, tmp_path):
         jobs.refine(spark, layers, strict)
 
 
-def test_stage_names():
-    assert jobs.normalize_stages(" gold, silver,gold ") == ["gold", "silver", "gold"]
-    assert jobs.normalize_stages("") == []
-    with pytest.raises(ValueError, match="platinum"):
-        jobs.normalize_stages(["silver", "platinum"])
-
-
 def test_shuffle_width_follows_the_input(spark, tmp_path):
     gib = 1024**3
     assert tuning.shuffle_width(None, 200) == 200
     assert tuning.shuffle_width(gib, 200) == 200
     assert tuning.shuffle_width(1000 * gib, 200) == 2000
-    assert tuning.shuffle_width(10**6 * gib, 200) == tuning.MOST_PARTITIONS
+    assert tuning.shuffle_width(10**6 * gib, 200) == 2 * 10**6
+    assert tuning.shuffle_width(10**6 * gib, 200, most=50_000) == 50_000
     spark.range(10).write.parquet(str(tmp_path / "p"))
     df = spark.read.parquet(str(tmp_path / "p"))
     assert 0 < tuning.scanned_bytes(df) < 10_000
@@ -265,6 +394,9 @@ def test_shuffle_width_follows_the_input(spark, tmp_path):
         assert int(spark.conf.get(tuning.SHUFFLE_PARTITIONS)) > int(before)
         assert spark.conf.get(tuning.METHOD_LIMIT) == "8000"
     assert spark.conf.get(tuning.SHUFFLE_PARTITIONS) == before
+    assert tuning.Width(input_bytes=100 * gib, target_bytes=gib).of(df, 2.0, 8) == 200
+    with tuning.tuned_for(df, width=tuning.Width(partitions=3)):
+        assert spark.conf.get(tuning.SHUFFLE_PARTITIONS) == "3"
 
 
 def test_shared_folder_follows_the_session(spark):

@@ -11,20 +11,28 @@ from siftlayer.operators import Field, apply_types, deduplicate, keep_valid
 from siftlayer.operators.validity import non_negative
 from siftlayer.plans import trips
 from siftlayer.plans.schemas import GOLD, SILVER, conform
-from tests.fixtures import ENDS_BEFORE_START, NEGATIVE_FARE, NO_PASSENGERS, VALID, bronze, trip
+from tests.fixtures import (
+    ENDS_BEFORE_START,
+    NEGATIVE_FARE,
+    NO_PASSENGERS,
+    VALID,
+    arrived,
+    bronze,
+    trip,
+)
 
 
 def test_only_the_valid_row_is_kept(spark):
     rows = bronze(spark, VALID, NEGATIVE_FARE, NO_PASSENGERS, ENDS_BEFORE_START)
     kept = trips.valid(trips.typed(rows)).collect()
-    assert [r["vendor_id"] for r in kept] == ["V1"]
+    assert [r["vendor_id"] for r in kept] == ["ferry"]
 
 
 def test_rules_at_their_edges(spark):
     rows = bronze(
         spark,
         trip("zero fare", fare_amount="0"),
-        trip("no time", end="06:00:00"),
+        trip("no time", end="18:40:00"),
         trip("nan fare", fare_amount="NaN"),
         trip("decimal passengers", passenger_count="1.0"),
         trip("null fare", fare_amount=None),
@@ -39,10 +47,10 @@ def test_rules_at_their_edges(spark):
 
 def test_derived_columns(spark):
     row = trips.derived(trips.typed(bronze(spark, VALID))).first()
-    assert row["trip_duration_minutes"] == 30.0
-    assert row["time_of_day"] == "morning"
-    assert row["is_weekend"] is True
-    assert row["tip_percentage"] == pytest.approx(20.0)
+    assert row["trip_duration_minutes"] == 45.5
+    assert row["time_of_day"] == "evening"
+    assert row["is_weekend"] is False
+    assert row["tip_percentage"] == pytest.approx(37.5)
 
 
 @pytest.mark.parametrize(
@@ -90,15 +98,15 @@ def test_percentage_guard(spark):
 
 
 def test_same_trip_twice_is_one(spark):
-    copy = dict(VALID, _ingested_at="2024-01-08 00:00:00", _source_file="b.csv")
+    copy = dict(VALID, _ingested_at="2025-03-21 00:00:00", _source_file="later.csv")
     for keep in ("first", "any"):
-        silver = trips.to_silver(bronze(spark, copy, VALID, copy), keep=keep)
+        silver = trips.to_silver(arrived(spark, copy, VALID, copy), keep=keep)
         assert silver.count() == 1
-    assert trips.to_silver(bronze(spark, copy, VALID)).first()["_source_file"] == "a.csv"
+    assert trips.to_silver(arrived(spark, copy, VALID)).first()["_source_file"] == "harbour.csv"
 
 
 def test_silver_has_its_schema_and_order(spark):
-    silver = trips.to_silver(bronze(spark, VALID))
+    silver = trips.to_silver(arrived(spark, VALID))
     assert [(f.name, f.dataType) for f in silver.schema] == [
         (f.name, f.dataType) for f in SILVER
     ]

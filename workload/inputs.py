@@ -64,6 +64,31 @@ def raw_trip_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return f"{path}/*.csv"
 
 
+# Line items as trip text; the date of one in 97 orders cannot be read.
+_LINE_TEXT = _TEXT | {
+    "vendor_id": "l_returnflag",
+    "tpep_pickup_datetime": """
+        if(l_orderkey % 97 = 0, concat('on ', l_shipdate), date_format(l_shipdate, 'yyyy-MM-dd'))""",
+    "tpep_dropoff_datetime": "date_format(l_shipdate, 'yyyy-MM-dd')",
+    "passenger_count": "cast(l_linenumber as string)",
+    "trip_distance": "cast(l_quantity as string)",
+    "rate_code_id": "'1'",
+    "store_and_fwd_flag": "l_linestatus",
+    "pulocation_id": "cast(l_suppkey as string)",
+    "dolocation_id": "cast(l_partkey as string)",
+    "payment_type": "'1'",
+    "fare_amount": "cast(l_extendedprice as string)",
+    "tip_amount": "cast(l_tax as string)",
+    "total_amount": "cast(l_extendedprice as string)",
+}
+
+
+def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as raw trip text, in file column order."""
+    columns = [F.expr(_LINE_TEXT[name]).cast("string").alias(name) for name in RAW.names]
+    return lineitem(spark, sf_dir).select(*columns)
+
+
 def native_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as typed trips, with the event id to tell rows apart."""
     return events(spark, sf_dir).select(

@@ -150,19 +150,45 @@ _WHOLE = (
 )
 
 
+_LINE_PICKUPS = """
+SELECT CASE WHEN l_orderkey % 97 <> 0 THEN l_shipdate END AS moment,
+       CASE WHEN l_orderkey % 97 = 0 THEN 'on ' || l_shipdate
+            ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS pickup
+FROM lineitem"""
+
+
+def _per_month(pickups: str) -> str:
+    """Rows and distinct pickup texts of each month, null for unreadable ones."""
+    return f"""
+SELECT CAST(year(moment) AS INTEGER) AS pickup_year, CAST(month(moment) AS INTEGER) AS pickup_month,
+       count(*) AS rows, count(DISTINCT pickup) AS pickups
+FROM ({pickups}) GROUP BY ALL"""
+
+
+_SHOWN = ", ".join(
+    f"CAST(CAST(CAST({c} AS DECIMAL(28,6)) AS DECIMAL(20,4)) AS DOUBLE) AS {c}"
+    for c in ("total_revenue", "avg_fare", "avg_tip", "revenue_per_mile")
+)
+
+
 def _select(ctes: str, columns: str, relation: str, where: str = "") -> str:
     return f"WITH {ctes}\nSELECT {columns} FROM {relation}" + (f"\nWHERE {where}" if where else "")
 
 
 ORACLE = {
     "csv_scan_strings": _select(_RAW, "*", "raw"),
-    "source_fallback": _select(_RAW, "vendor_id, tpep_pickup_datetime, total_amount", "raw"),
+    "source_fallback": _select(_RAW, "*", "raw"),
     "bronze_audit": """
 SELECT event_id, TRUE AS has_ingest_time, TRUE AS has_source_file,
        CAST(year(ts) AS INTEGER) AS pickup_year, CAST(month(ts) AS INTEGER) AS pickup_month
 FROM events""",
     "bronze_partition_append": _BRONZE_MONTHS,
     "bronze_partition_append_rebalanced": _BRONZE_MONTHS,
+    "bronze_months": _per_month(_LINE_PICKUPS),
+    "bronze_overwrite": _per_month(_LINE_PICKUPS),
+    "append_unregistered": _per_month(
+        f"{_LINE_PICKUPS} UNION ALL SELECT CAST(ts AS TIMESTAMP), CAST(ts AS VARCHAR) FROM events"
+    ),
     "typing_null_policy": _select(_TYPED, "*", "typed"),
     "typing_mixed_text": f"""
 WITH shaped AS (
@@ -182,7 +208,10 @@ SELECT event_id,
        CASE WHEN {_INTEGER_TEXT} THEN TRY_CAST({_WHOLE} AS INTEGER) END AS as_int,
        CASE WHEN {_INTEGER_TEXT} THEN TRY_CAST({_WHOLE} AS BIGINT) END AS as_bigint,
        TRY_CAST(trim(text) AS DOUBLE) AS as_double,
-       CASE WHEN contains(text, '-0') THEN TRY_CAST(text AS TIMESTAMP) END AS as_moment
+       CASE WHEN contains(text, '-0') THEN CAST(TRY_CAST(text AS TIMESTAMP) AS VARCHAR)
+            WHEN regexp_matches(text, '^[0-9]{{4}}$') THEN text || '-01-01 00:00:00'
+            WHEN regexp_matches(text, '^[0-9]{{5,6}}$') THEN '+' || text || '-01-01 00:00:00'
+       END AS as_moment
 FROM shaped""",
     "rename_drop_project": _select(
         _TYPED,
@@ -220,13 +249,12 @@ FROM lineitem WHERE l_quantity >= 0 AND l_discount > 0""",
         "native",
     ),
     "dedup_first_by": """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
-       l_discount, l_shipdate
-FROM lineitem
+SELECT * FROM lineitem
 QUALIFY row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_extendedprice NULLS FIRST,
-           l_shipdate NULLS FIRST) = 1""",
+           l_shipdate NULLS FIRST, l_quantity NULLS FIRST, l_discount NULLS FIRST,
+           l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) = 1""",
     "row_counts": f"""
 WITH {_SILVER}
 SELECT (SELECT 2 * count(*) FROM typed) AS rows_in,
@@ -237,9 +265,15 @@ SELECT (SELECT 2 * count(*) FROM typed) AS rows_in,
     "gold_avg": _gold(_LINES, "lines", _MEANS),
     "gold_ratio": _gold(_LINES, "lines", _PER_MILE),
     "gold_metrics": _GOLD_OF_LINES,
+    "gold_bigint": _GOLD_OF_LINES.replace("CAST(count(*) AS INTEGER)", "count(*)"),
+    "gold_metrics_default": f"""
+SELECT zone_id, year, month, total_trips, {_SHOWN}
+FROM ({_GOLD_OF_LINES})""",
     "gold_metrics_of_trips": _GOLD_OF_TRIPS,
     "silver_replace": _select(_SILVER, "*", "silver"),
     "gold_replace": _GOLD_OF_LINES,
+    "replace_managed": _GOLD_OF_LINES,
+    "replace_partitioned": _GOLD_OF_LINES,
     "layout_zorder": _GOLD_OF_LINES,
     "layout_range": _GOLD_OF_LINES,
     "bronze_job": f"""
@@ -251,6 +285,7 @@ dated AS (
 )
 SELECT * FROM dated UNION ALL SELECT * FROM dated""",
     "silver_job": _select(_SILVER, "*", "silver"),
+    "silver_after_growth": _select(_SILVER, "*", "silver"),
     "silver_job_counts": f"""
 WITH {_SILVER}
 SELECT (SELECT count(*) FROM silver) AS rows_in_table,

@@ -25,7 +25,7 @@ from siftlayer.operators import (
 from siftlayer.operators.validity import non_negative, not_before, positive
 from siftlayer.plans import jobs, trips
 from siftlayer.sinks import append_partitioned, recluster_table, replace_table
-from siftlayer.sources import read_first_available, read_table, read_text_columns
+from siftlayer.sources import TextSource, locate, read_table
 from siftlayer.workspace import shared_folder
 from workload import inputs
 
@@ -57,14 +57,14 @@ def _visible(df: DataFrame) -> DataFrame:
 
 def csv_scan_strings(spark, sf_dir):
     files = inputs.raw_trip_files(spark, sf_dir, shared_folder(spark))
-    return read_text_columns(spark, files, trips.RAW)
+    return TextSource("trips", files).scan(spark, trips.RAW)
 
 
 def source_fallback(spark, sf_dir):
     folder = shared_folder(spark)
     files = inputs.raw_trip_files(spark, sf_dir, folder)
-    found = read_first_available(spark, [f"{folder}/absent/*.csv", files], trips.RAW)
-    return found.select("vendor_id", "tpep_pickup_datetime", "total_amount")
+    sources = [TextSource("resent", f"{folder}/absent/*.csv"), TextSource("trips", files)]
+    return locate(spark, sources).scan(spark, trips.RAW)
 
 
 # --- bronze ----------------------------------------------------------------
@@ -109,6 +109,45 @@ def bronze_partition_append_rebalanced(spark, sf_dir):
     return _bronze_per_month(spark, sf_dir, True)
 
 
+def _per_month(spark, table):
+    return summarise(
+        read_table(spark, table),
+        {c: F.col(c) for c in trips.PARTITIONS},
+        row_count("rows", "bigint"),
+        F.countDistinct("tpep_pickup_datetime").alias("pickups"),
+    )
+
+
+def _append(batch, layers, **options):
+    location = layers.location("bronze")
+    append_partitioned(batch, layers.bronze, trips.PARTITIONS, location, **options)
+
+
+def bronze_months(spark, sf_dir):
+    """Line items as trips of some eighty months, one day in 97 unreadable."""
+    layers = _fresh_layers(spark)
+    arrived = trips.to_bronze(inputs.line_trips(spark, sf_dir))
+    _append(arrived, layers, rebalance=True, file_bytes=256 * 2**20)
+    return _per_month(spark, layers.bronze)
+
+
+def bronze_overwrite(spark, sf_dir):
+    """Events arrive, then line items in their place."""
+    layers = _fresh_layers(spark)
+    _append(trips.to_bronze(inputs.raw_trips(spark, sf_dir)), layers)
+    _append(trips.to_bronze(inputs.line_trips(spark, sf_dir)), layers, mode="overwrite")
+    return _per_month(spark, layers.bronze)
+
+
+def append_unregistered(spark, sf_dir):
+    """The folder holds the line items of a table that the catalog has forgotten."""
+    layers = _fresh_layers(spark)
+    _append(trips.to_bronze(inputs.line_trips(spark, sf_dir)), layers)
+    spark.sql(f"DROP TABLE {layers.bronze}")
+    _append(trips.to_bronze(inputs.raw_trips(spark, sf_dir)), layers)
+    return _per_month(spark, layers.bronze)
+
+
 # --- typing and projection -------------------------------------------------
 
 
@@ -139,14 +178,10 @@ def typing_mixed_text(spark, sf_dir):
         Field("as_double", "double"),
         Field("as_moment", "timestamp", "text"),
     ]
-    # A bare number is also a year to the timestamp parser; the oracle's parser
-    # differs there, so the moment is shown where the text has a date's shape.
-    typed = apply_types(shaped.withColumn("shape", F.col("text")), fields)
-    return _wall_clock(
-        typed.withColumn(
-            "as_moment", F.when(F.col("shape").contains("-0"), F.col("as_moment"))
-        ).drop("shape")
-    )
+    # A bare number is also a year to the timestamp parser, up to six digits of
+    # it; as text such moments can be shown whatever the year.
+    typed = apply_types(shaped, fields)
+    return typed.withColumn("as_moment", F.col("as_moment").cast("string"))
 
 
 def rename_drop_project(spark, sf_dir):
@@ -254,7 +289,7 @@ def dedup_any(spark, sf_dir):
 
 def dedup_first_by(spark, sf_dir):
     return deduplicate(
-        inputs.lineitem(spark, sf_dir).drop("l_returnflag", "l_linestatus", "l_tax"),
+        inputs.lineitem(spark, sf_dir),
         ["l_orderkey", "l_linenumber", "no_such_column"],
         order_by=["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"],
     )
@@ -311,6 +346,19 @@ def gold_metrics(spark, sf_dir):
     return trips.to_gold(inputs.silver_lines(spark, sf_dir), SCALE)
 
 
+def gold_bigint(spark, sf_dir):
+    return trips.to_gold(inputs.silver_lines(spark, sf_dir), SCALE, "bigint")
+
+
+def gold_metrics_default(spark, sf_dir):
+    """Double sums, whose last digits depend on the order of rows; shown to four decimals."""
+    gold = trips.to_gold(inputs.silver_lines(spark, sf_dir))
+    doubles = [name for name, kind in gold.dtypes if kind == "double"]
+    return gold.withColumns(
+        {name: F.col(name).cast("decimal(28,6)").cast("decimal(20,4)").cast("double") for name in doubles}
+    )
+
+
 def gold_metrics_of_trips(spark, sf_dir):
     """Few broad groups: the zones of the events, all in one month."""
     bronze = trips.to_bronze(inputs.raw_trips(spark, sf_dir))
@@ -339,6 +387,23 @@ def gold_replace(spark, sf_dir):
     return read_table(spark, layers.gold)
 
 
+def replace_managed(spark, sf_dir):
+    """A managed table holds the counts, then all metrics."""
+    name = _fresh_layers(spark).gold
+    gold_count(spark, sf_dir).write.format("parquet").saveAsTable(name)
+    replace_table(gold_metrics(spark, sf_dir), name)
+    return read_table(spark, name)
+
+
+def replace_partitioned(spark, sf_dir):
+    """A table partitioned by year holds every group twice, then once."""
+    layers = _fresh_layers(spark)
+    gold = gold_metrics(spark, sf_dir)
+    for contents in (gold.unionByName(gold), gold):
+        replace_table(contents, layers.gold, layers.location("gold"), ["year"])
+    return read_table(spark, layers.gold)
+
+
 def _reclustered(spark, sf_dir, curve):
     layers = _fresh_layers(spark)
     location = layers.location("gold")
@@ -358,28 +423,41 @@ def layout_range(spark, sf_dir):
 # --- jobs ------------------------------------------------------------------
 
 
-def _after(spark, sf_dir, stages, options=jobs.Options(scale=SCALE)):
-    """All files ingested twice, as a rerun of the first stage does, then the rest."""
+BRONZE, SILVER, GOLD = jobs.Stage
+
+
+def _after(spark, sf_dir, *stages, options=jobs.Options(scale=SCALE)):
+    """Layers after the stages; a repeated first stage ingests all files again."""
     layers = _fresh_layers(spark)
-    files = inputs.raw_trip_files(spark, sf_dir, layers.folder)
+    files = TextSource("trips", inputs.raw_trip_files(spark, sf_dir, layers.folder))
     report = jobs.run(spark, layers, [files], stages, options)
     return layers, report
 
 
 def bronze_job(spark, sf_dir):
-    layers, _ = _after(spark, sf_dir, "bronze,bronze")
+    layers, _ = _after(spark, sf_dir, BRONZE, BRONZE)
     return read_table(spark, layers.bronze).drop("_ingested_at", "_source_file")
 
 
 def silver_job(spark, sf_dir):
-    layers, _ = _after(spark, sf_dir, "bronze,bronze,silver")
+    layers, _ = _after(spark, sf_dir, BRONZE, BRONZE, SILVER)
+    return _visible(read_table(spark, layers.silver))
+
+
+def silver_after_growth(spark, sf_dir):
+    """The second delivery has one more column; silver is made of both."""
+    layers = _fresh_layers(spark)
+    first = trips.to_bronze(inputs.raw_trips(spark, sf_dir))
+    for batch in (first, first.withColumn("feed", F.lit("resent"))):
+        _append(batch, layers)
+    jobs.refine(spark, layers)
     return _visible(read_table(spark, layers.silver))
 
 
 def silver_job_counts(spark, sf_dir):
     """What the silver job reports, next to its result."""
-    layers, report = _after(spark, sf_dir, "bronze,bronze,silver")
-    rows_in, rows_out = report.rows["silver"]
+    layers, report = _after(spark, sf_dir, BRONZE, BRONZE, SILVER)
+    rows_in, rows_out = report.last(SILVER).rows
     return read_table(spark, layers.silver).agg(
         F.count(F.lit(1)).alias("rows_in_table"),
         F.lit(rows_in).cast("bigint").alias("rows_in"),
@@ -388,16 +466,14 @@ def silver_job_counts(spark, sf_dir):
 
 
 def gold_job(spark, sf_dir):
-    layers, _ = _after(
-        spark, sf_dir, "bronze,bronze,silver,gold", jobs.Options(scale=SCALE, optimize=False)
-    )
+    plain = jobs.Options(scale=SCALE, optimize=False)
+    layers, _ = _after(spark, sf_dir, BRONZE, BRONZE, SILVER, GOLD, options=plain)
     return read_table(spark, layers.gold)
 
 
 def full_pipeline(spark, sf_dir):
-    layers, _ = _after(
-        spark, sf_dir, "bronze,silver,gold", jobs.Options(scale=SCALE, rebalance=True)
-    )
+    rebalanced = jobs.Options(scale=SCALE, rebalance=True)
+    layers, _ = _after(spark, sf_dir, BRONZE, SILVER, GOLD, options=rebalanced)
     return read_table(spark, layers.gold)
 
 
@@ -409,6 +485,9 @@ QUERIES = {
         bronze_audit,
         bronze_partition_append,
         bronze_partition_append_rebalanced,
+        bronze_months,
+        bronze_overwrite,
+        append_unregistered,
         typing_null_policy,
         typing_mixed_text,
         rename_drop_project,
@@ -432,13 +511,18 @@ QUERIES = {
         gold_avg,
         gold_ratio,
         gold_metrics,
+        gold_bigint,
+        gold_metrics_default,
         gold_metrics_of_trips,
         silver_replace,
         gold_replace,
+        replace_managed,
+        replace_partitioned,
         layout_zorder,
         layout_range,
         bronze_job,
         silver_job,
+        silver_after_growth,
         silver_job_counts,
         gold_job,
         full_pipeline,
