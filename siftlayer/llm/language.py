@@ -34,6 +34,7 @@ SEED = 11
 UNKNOWN = "und"
 _SYMBOLS = 64
 _PAIRS = _SYMBOLS * _SYMBOLS
+_SALTS = 64
 _TOGETHER = 1024  # windows scored at once
 
 
@@ -199,12 +200,21 @@ def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str]
 
 
 def _sample(docs: DataFrame, size: int) -> DataFrame:
-    """The labelled rows of each language that a hash of the id puts first."""
-    order = Window.partitionBy("lang").orderBy(unit_hash("doc_id", seed=SEED), "doc_id", F.xxhash64("text"))
-    first = docs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    """Parts of the labelled rows of each language that a hash of the id puts first.
+
+    Each task sends at most ``size`` rows of a language on; these meet in
+    ``_SALTS`` groups before the last choice, so that no task gets one share of
+    every other.
+    """
     spread = F.floor((F.length("text") - 1) / F.lit(SAMPLE_WINDOWS))
     parts = [F.substring("text", spread * i + 1, F.lit(WINDOW)) for i in range(SAMPLE_WINDOWS)]
-    return first.orderBy("lang", "place").select(F.array_distinct(F.array(*parts)).alias("parts"), "lang")
+    rank, tie = unit_hash("doc_id", seed=SEED).alias("rank"), F.xxhash64("text").alias("tie")
+    rows = docs.select("lang", "doc_id", rank, tie, F.array_distinct(F.array(*parts)).alias("parts"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(_SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("rank", "doc_id", "tie")
+        rows = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return rows.orderBy("lang", "place").select("parts", "lang")
 
 
 def _predictor(network: Network | None):
