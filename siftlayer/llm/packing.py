@@ -186,6 +186,15 @@ class _Search:
         return False
 
     def run(self, effort: int) -> list[list[int]]:
+        """Passes over the bins, as long as one gains and at most ``effort`` times."""
+        for _ in range(effort):
+            before = sum(fill * fill for fill in self.fills)
+            self._pass(effort)
+            if sum(fill * fill for fill in self.fills) == before:
+                break
+        return [own for own in self.bins if own]
+
+    def _pass(self, effort: int) -> None:
         """Empties bins from the least filled on, while changes are found."""
         for source in sorted(range(len(self.bins)), key=self.fills.__getitem__):
             changes = effort * max(1, len(self.bins[source]))
@@ -198,7 +207,6 @@ class _Search:
                     changes -= 1
                     if not self.bins[source] or self.fills[target] < self.fills[source]:
                         break
-        return [own for own in self.bins if own]
 
 
 def pack(sizes: list[int], capacity: int, effort: int = MOVES) -> list[list[int]]:

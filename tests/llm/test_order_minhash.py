@@ -1,0 +1,82 @@
+"""Fingerprints by order, edited texts and the next document."""
+
+import hashlib
+
+import numpy as np
+
+from siftlayer.llm.order_minhash import BINS, _codes, likeness, order_fingerprints, tuples
+
+
+def test_likeness_follows_edits_and_order():
+    rng = np.random.default_rng(0)
+    text = "".join(chr(97 + c) for c in rng.integers(0, 26, 4000))
+    other = "".join(chr(97 + c) for c in rng.integers(0, 26, 4000))
+    own = tuples(_codes(text))
+    few = text[:1000] + "!" + text[1001:2500] + "?" + text[2501:]
+    near = [likeness(own, tuples(_codes(x))) for x in (text, few, text[:2000] + other[:2000], other)]
+    assert near[0] == 1.0 and near[1] > 0.9 and near[1] > near[2] > near[3] and near[3] < 0.05
+    # The same k-mers but for the seam, in another order: tuples across the seam differ.
+    turned = text[2000:] + text[:2000]
+    assert 0.3 < likeness(own, tuples(_codes(turned))) < 0.7
+
+
+def test_occurrences_are_told_apart():
+    once, twice = "abcdefgh" * 40, "abcdefgh" * 80
+    assert likeness(tuples(_codes(once)), tuples(_codes(twice))) < 1
+    for text in ("", "a", "abcdefg", "abcdefgh", "😀" * 30, "a" * 100_000):
+        print_ = tuples(_codes(text))
+        assert len(print_) == BINS and (print_ != 0).any() == bool(text)
+        assert (print_ == tuples(_codes(text))).all()
+
+
+def test_the_shortcut_for_long_texts_changes_nothing():
+    from siftlayer.llm import order_minhash as o
+
+    rng = np.random.default_rng(1)
+    codes = rng.integers(97, 122, 30_000).astype(np.uint32)
+    hashes, place = o._numbered(o._kmers(codes, o.K))
+    wanted = {}
+    for bin_ in range(BINS):
+        own = sorted((int(h), int(p)) for h, p in zip(hashes, place) if int(h) % BINS == bin_)[:2]
+        wanted[bin_] = [h for h, _ in sorted(own, key=lambda x: x[1])]
+    total = [np.array([0], np.uint64) for _ in range(BINS)]
+    for bin_, own in wanted.items():
+        for h in own:
+            total[bin_] = o.mixed(total[bin_] * o._FACTOR + np.array([h], np.uint64))
+    assert tuples(codes).tolist() == [int(t[0] >> np.uint64(32)) | 1 for t in total]
+
+
+def _check(df, group_bytes):
+    rows = [(r["doc_id"], r["text"] or "") for r in df.collect()]
+    named = sorted(r for r in rows if r[0] is not None)
+    wanted = []
+    for i, (doc_id, text) in enumerate(named):
+        wanted.append((doc_id, text, named[(i + 1) % len(named)][1]))
+    wanted += [(None, text, text) for doc_id, text in rows if doc_id is None]
+    expected = sorted(
+        (str(d), len(t), hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest())
+        for d, t, n in wanted
+    )
+    found = order_fingerprints(df, group_bytes).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in found) == expected
+    assert all(0 <= r[c] <= 1 for r in found for c in ("near_edited", "near_next"))
+    return found
+
+
+def test_next_documents_over_many_ranges(documents):
+    texts = [f"text {i} " * (i % 9) for i in range(150)]
+    df = documents([(i * 7 - 300, t, "en", "s") for i, t in enumerate(texts)])
+    for size in (300, 10**9):
+        found = _check(df, size)
+    prints = {}
+    for r in found:
+        prints.setdefault(texts[(r["doc_id"] + 300) // 7], set()).add(r["fingerprint"])
+    assert all(len(x) == 1 for x in prints.values()) and len(prints) > 100
+
+
+def test_odd_rows(odd_documents, documents):
+    for size in (1000, 10**9):
+        _check(odd_documents, size)
+    assert order_fingerprints(odd_documents.limit(0)).count() == 0
+    (alone,) = order_fingerprints(documents(["just one"])).collect()
+    assert alone["near_next"] == 1.0
