@@ -120,8 +120,10 @@ def _searched(pivots: dict[int, np.ndarray], k: int):
 
 def _pivots(whole: DataFrame, count: int) -> dict[int, np.ndarray]:
     """``count`` vectors of each dimension, those that a hash of the id puts first."""
-    order = Window.partitionBy("dim").orderBy(unit_hash("vec_id", seed=SEED), "vec_id")
-    rows = whole.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
+    rows = whole.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
+    for keys in (["dim", "salt"], ["dim"]):  # in two steps, each of few rows a task
+        order = Window.partitionBy(*keys).orderBy(unit_hash("vec_id", seed=SEED), "vec_id")
+        rows = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
     out: dict[int, list] = {}
     for row in rows.select("dim", "v").collect():
         out.setdefault(row["dim"], []).append(row["v"])
