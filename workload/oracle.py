@@ -165,6 +165,13 @@ SELECT CAST(year(moment) AS INTEGER) AS pickup_year, CAST(month(moment) AS INTEG
 FROM ({pickups}) GROUP BY ALL"""
 
 
+def _matched(column: str) -> str:
+    """Rows up to an eighth of a column's greatest value; files are to be skipped."""
+    return f"""
+SELECT '{column}' AS filtered, TRUE AS skips, count(*) AS matched
+FROM lineitem WHERE {column} <= (SELECT max({column}) / 8 FROM lineitem)"""
+
+
 _SHOWN = ", ".join(
     f"CAST(CAST(CAST({c} AS DECIMAL(28,6)) AS DECIMAL(20,4)) AS DOUBLE) AS {c}"
     for c in ("total_revenue", "avg_fare", "avg_tip", "revenue_per_mile")
@@ -276,6 +283,8 @@ FROM ({_GOLD_OF_LINES})""",
     "replace_partitioned": _GOLD_OF_LINES,
     "layout_zorder": _GOLD_OF_LINES,
     "layout_range": _GOLD_OF_LINES,
+    "layout_zorder_files": f"{_matched('l_partkey')} UNION ALL {_matched('l_suppkey')}",
+    "layout_range_files": _matched("l_partkey"),
     "bronze_job": f"""
 WITH {_RAW},
 dated AS (

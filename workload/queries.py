@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -420,6 +421,39 @@ def layout_range(spark, sf_dir):
     return _reclustered(spark, sf_dir, "linear")
 
 
+def _files_skipped(spark, sf_dir, curve, columns):
+    """For a filter on each column its rows, and whether at most half of the files can hold any."""
+    layers = _fresh_layers(spark)
+    replace_table(inputs.lineitem(spark, sf_dir), layers.gold, layers.location("gold"))
+    recluster_table(
+        spark, layers.gold, columns, curve, location=layers.location("gold"), partitions=16
+    )
+    rows = read_table(spark, layers.gold)
+    parts = []
+    for column in columns:
+        bound = rows.agg(F.max(column)).first()[0] / 8
+        files = rows.groupBy("_metadata.file_path").agg(
+            F.min(column).alias("least"), F.count_if(F.col(column) <= bound).alias("matched")
+        )
+        skips = 2 * F.count_if(F.col("least") <= bound) <= F.count(F.lit(1))
+        parts.append(
+            files.agg(
+                F.lit(column).alias("filtered"),
+                skips.alias("skips"),
+                F.sum("matched").alias("matched"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def layout_zorder_files(spark, sf_dir):
+    return _files_skipped(spark, sf_dir, "morton", ["l_partkey", "l_suppkey"])
+
+
+def layout_range_files(spark, sf_dir):
+    return _files_skipped(spark, sf_dir, "linear", ["l_partkey"])
+
+
 # --- jobs ------------------------------------------------------------------
 
 
@@ -520,6 +554,8 @@ QUERIES = {
         replace_partitioned,
         layout_zorder,
         layout_range,
+        layout_zorder_files,
+        layout_range_files,
         bronze_job,
         silver_job,
         silver_after_growth,
