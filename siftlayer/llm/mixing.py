@@ -6,6 +6,8 @@ for one copy more.  Documents are ranked by their random odds over their
 inclusion odds, and a source takes them in that order up to the words it still
 needs: the fixed size of the sample.  The rank at which it stops is found from
 counts of words in ever smaller cells of the rank, never by sorting a source.
+What is then left, less than the next document, goes in the same order to those
+after it that fit.
 """
 
 from __future__ import annotations
@@ -77,21 +79,17 @@ def _rank(key: Column, chance: Column) -> Column:
     return F.when(chance > 0, F.floor(odds / (1 + odds) * F.lit(top)).cast("long"))
 
 
-def _cuts(space: Workspace, keys: DataFrame, table: DataFrame) -> DataFrame:
-    """For each source the rank below which documents give a further copy.
+def _cuts(space: Workspace, ranked: DataFrame, needs: DataFrame, nearest: bool) -> DataFrame:
+    """For each source the rank below which documents give a further copy, and the words left.
 
     Round by round the cell that holds the wanted number of words is cut into
-    ``2 ** CELL_BITS`` smaller ones.
+    ``2 ** CELL_BITS`` smaller ones.  The last cell is taken where all of it is
+    needed, with ``nearest`` where half of it is.
     """
     bits = CELL_BITS * ROUNDS
-    state = table.select(
-        F.col("source").alias("of"),
-        F.lit(0).cast("long").alias("low"),
-        (F.col("target") - F.col("whole") * F.col("source_size")).alias("need"),
-    )
-    ranked = keys.join(table.select(F.col("source").alias("of"), "chance"), keys["source"].eqNullSafe(F.col("of")))
-    ranked = space.keep(ranked.select("source", "size", _rank(F.col("key"), F.col("chance")).alias("rank")))
+    state = needs.select("of", F.lit(0).cast("long").alias("low"), F.col("need").cast("double").alias("need"))
     for number in range(ROUNDS):
+        last = number == ROUNDS - 1
         width = 2 ** (bits - CELL_BITS * (number + 1))
         inside = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("low") + width * 2**CELL_BITS)
         cells = (
@@ -101,27 +99,18 @@ def _cuts(space: Workspace, keys: DataFrame, table: DataFrame) -> DataFrame:
         )
         before = Window.partitionBy("source").orderBy("cell")
         cells = cells.withColumn("below", F.sum("size").over(before) - F.col("size"))
-        nearer = F.col("below") + (F.col("size") / 2 if number == ROUNDS - 1 else F.lit(0)) <= F.col("need")
-        if number == ROUNDS - 1:
-            # The last cell is taken where that comes nearer to the need.
-            chosen = cells.groupBy("source").agg(
-                F.max(F.when(nearer, F.col("low") + (F.col("cell") + 1) * width)).alias("high"),
-                F.min("low").alias("low"),
-            )
-            state = chosen.select(
-                F.col("source").alias("of"), F.coalesce("high", "low").alias("low"), F.lit(0.0).alias("need")
-            )
-        else:
-            chosen = cells.where(nearer).groupBy("source").agg(
-                F.max(F.struct("cell", "below", "low", "need")).alias("at")
-            )
-            state = chosen.select(
-                F.col("source").alias("of"),
-                (F.col("at.low") + F.col("at.cell") * width).alias("low"),
-                (F.col("at.need") - F.col("at.below")).alias("need"),
-            )
+        share = (F.col("size") / 2 if nearest else F.col("size")) if last else F.lit(0)
+        taken = F.when(F.col("below") + share <= F.col("need"), F.struct("cell", "below", "size"))
+        chosen = cells.groupBy("source").agg(
+            F.max(taken).alias("at"), F.min("low").alias("low"), F.min("need").alias("need")
+        )
+        state = chosen.select(
+            F.col("source").alias("of"),
+            F.coalesce(F.col("low") + (F.col("at.cell") + int(last)) * width, F.col("low")).alias("low"),
+            (F.col("need") - F.coalesce(F.col("at.below") + (F.col("at.size") if last else 0), F.lit(0))).alias("need"),
+        )
         state = space.keep(state)
-    return state.select(F.col("of").alias("cut_of"), F.col("low").alias("cut"))
+    return state.withColumnsRenamed({"low": "cut", "need": "left"})
 
 
 def mix_sources(
@@ -144,15 +133,25 @@ def mix_sources(
         docs["doc_id"].cast("long").alias("id"),
     ).withColumn("key", unit_hash("id", "size", seed=seed))
     keys = space.keep(sized.select("source", "size", "key"))
-    table = space.keep(_target_table(spark, keys, weights, budget, most))
-    cuts = _cuts(space, keys, table)
+    table = space.keep(_target_table(spark, keys, weights, budget, most).withColumnRenamed("source", "of"))
+    ranked = keys.join(table.select("of", "chance"), keys["source"].eqNullSafe(F.col("of")))
+    ranked = space.keep(ranked.select("source", "size", _rank(F.col("key"), F.col("chance")).alias("rank")))
+    need = (F.col("target") - F.col("whole") * F.col("source_size")).alias("need")
+    first = _cuts(space, ranked, table.select("of", need), nearest=False)
+    # Of the documents after the cut, those that fit into the words left fill them up.
+    fitting = ranked.join(first, ranked["source"].eqNullSafe(F.col("of")))
+    fitting = fitting.where("rank >= cut AND size > 0 AND size <= left").select("source", "size", "rank")
+    second = _cuts(space, fitting, first.select("of", F.col("left").alias("need")), nearest=True)
+    cuts = first.select(F.col("of").alias("cut_of"), "cut", "left")
+    fills = second.select(F.col("of").alias("fill_of"), F.col("cut").alias("fill"))
     per_source = space.keep(
-        table.join(cuts, table["source"].eqNullSafe(cuts["cut_of"]), "left").select(
-            F.col("source").alias("of"), "source_size", "target", "whole", "chance", "cut"
-        )
+        table.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left")
+        .join(fills, F.col("of").eqNullSafe(F.col("fill_of")), "left")
+        .select("of", "source_size", "target", "whole", "chance", "cut", "left", "fill")
     )
     joined = sized.join(per_source, sized["source"].eqNullSafe(per_source["of"]))
-    further = _rank(F.col("key"), F.col("chance")) < F.col("cut")
+    rank = _rank(F.col("key"), F.col("chance"))
+    further = (rank < F.col("cut")) | ((F.col("size") <= F.col("left")) & (rank < F.col("fill")))
     copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(further, F.lit(False)).cast("int"))
     return joined.select("row", "size", "source_size", "target", F.coalesce(copies, F.lit(0)).alias("copies"))
 
