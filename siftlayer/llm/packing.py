@@ -27,7 +27,7 @@ from .common import Workspace
 
 LENGTH = 2048
 GROUP_PIECES = 8192
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 MOVES = 2
 _JOINED = 500
 _TOGETHER = 512
@@ -86,7 +86,10 @@ class _WordIds:
             met.update(words)
         new = [word for word in met if word not in self.words]
         if len(self.words) + len(new) > self.most:
-            self.words, self.parts, new = {}, {"": b""}, list(met)
+            # What has been met before and is met again is likely to come once more.
+            self.words = {word: self.words[word] for word in met.difference(new)}
+        if len(self.parts) > self.most * 3 // 2:
+            self.parts = {"": b""}
         self._learn(new)
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
