@@ -27,7 +27,7 @@ from .common import Workspace
 
 LENGTH = 2048
 GROUP_PIECES = 8192
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 MOVES = 2
 _JOINED = 500
 _TOGETHER = 512
@@ -35,13 +35,19 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, room int"
 
 
+# Characters of which a run is one part to the tokenizer, letters or marks.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_CAPITALS = "A-Z\u00c0-\u00d6\u00d8-\u00de"
+_MARKS = ".,;:!?%$#&*|"
+
+
 class _WordIds:
-    """Packed ids of texts, by words.
+    """Packed ids of texts, by parts.
 
     The tokenizer drops white space and merges nothing across it, so that words
-    parted by a blank or line feed are independent.  Plain words, Latin letters
-    and then marks, are cut further into the two parts that the tokenizer sees
-    apart.  A bounded cache holds what was met before.
+    parted by a blank or line feed are independent; it sees runs of letters and
+    runs of marks apart.  A text is cut into such runs, but for words with any
+    other character, which stay whole.  A bounded cache holds what was met before.
     """
 
     def __init__(self, path: str, most: int) -> None:
@@ -51,47 +57,54 @@ class _WordIds:
         names = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(names.values()) + 1, bool)
         self.closes[[number for name, number in names.items() if name.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-        self.plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?%$#&*|]*)").fullmatch
+        self.known: dict[str, bytes] = {}
+        self.runs = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+").findall
+        self.odd = re.compile(f"[^{_LETTERS}{_CAPITALS}{_MARKS} \n]").search
+        self.gap = re.compile("[ \n]").search
+
+    def _units(self, text: str) -> list[str]:
+        """Runs in lower case, and words with an odd character as they are, in order."""
+        units: list[str] = []
+        at = 0
+        while found := self.odd(text, at):
+            place = found.start()
+            start = max(text.rfind(" ", at, place), text.rfind("\n", at, place), at - 1) + 1
+            gap = self.gap(text, place)
+            end = gap.start() if gap else len(text)
+            units += self.runs(text[at:start].lower())
+            units.append(text[start:end])
+            at = end
+        return units + self.runs(text[at:].lower())
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4") for x in found]
 
-    def _learn_parts(self, parts: list[str]) -> None:
-        for start in range(0, len(parts), _JOINED):
-            some = parts[start : start + _JOINED]
+    def _learn(self, units: list[str]) -> None:
+        odd = [unit for unit in units if self.odd(unit)]
+        self.known.update((unit, ids.tobytes()) for unit, ids in zip(odd, self._encode(odd), strict=True))
+        runs = [unit for unit in units if unit not in self.known]
+        for start in range(0, len(runs), _JOINED):
+            some = runs[start : start + _JOINED]
             ids = self._encode([" ".join(some)])[0]
             ends = (4 * np.nonzero(self.closes[ids])[0] + 4).tolist()
             if len(ends) == len(some):
                 packed = ids.tobytes()
-                self.parts.update((x, packed[i:j]) for x, i, j in zip(some, [0, *ends], ends, strict=False))
-            else:  # a part that the tokenizer cuts further
-                self.parts.update((x, piece.tobytes()) for x, piece in zip(some, self._encode(some), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        plain = {word: found.groups() for word in words if (found := self.plain(word))}
-        plain = {word: (letters.lower(), marks) for word, (letters, marks) in plain.items()}
-        parts = self.parts
-        self._learn_parts([x for x in dict.fromkeys(x for pair in plain.values() for x in pair) if x not in parts])
-        self.words.update((word, parts[letters] + parts[marks]) for word, (letters, marks) in plain.items())
-        other = [word for word in words if word not in plain]
-        self.words.update((word, ids.tobytes()) for word, ids in zip(other, self._encode(other), strict=True))
+                self.known.update((x, packed[i:j]) for x, i, j in zip(some, [0, *ends], ends, strict=False))
+            else:  # a run that the tokenizer cuts further
+                self.known.update((x, piece.tobytes()) for x, piece in zip(some, self._encode(some), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        split = [self._units(text) for text in texts]
         met: set[str] = set()
-        for words in split:
-            met.update(words)
-        new = [word for word in met if word not in self.words]
-        if len(self.words) + len(new) > self.most:
+        for units in split:
+            met.update(units)
+        new = [unit for unit in met if unit not in self.known]
+        if len(self.known) + len(new) > self.most:
             # What has been met before and is met again is likely to come once more.
-            self.words = {word: self.words[word] for word in met.difference(new)}
-        if len(self.parts) > self.most * 3 // 2:
-            self.parts = {"": b""}
+            self.known = {unit: self.known[unit] for unit in met.difference(new)}
         self._learn(new)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        return [b"".join(map(self.known.__getitem__, units)) for units in split]
 
 
 def _tokenized(path: str, length: int, cached: int):

@@ -25,7 +25,7 @@ def _ids(tokenizer, text):
 TEXTS = [
     "Plain words, some. of$$$ them%%% marked", "don't it's I'LL we've", "été ÉTÉ é Ünïcödé ß ſ İ", "123 4½ Ⅷ",
     "<|endoftext|>x <|startoftext|>", "emoji😀ok 你好世界", "a\tb\r\nc\x0bd e f", "A.B,c ...", "", "  ", None,
-    "word " * 5000, "x" * 3000,
+    "word " * 5000, "x" * 3000, "1" + "y" * 3000 + " z", "a,b.c|d e's\nf\tg\n9h", "\u2019tis na\u0308ive \ufb01x", "ÀÖØÞ×÷ª",
 ]
 
 
