@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import default_tokenizer, table
 from .language import identify_languages
 from .maxent import score_texts
+from .middles import fill_in_middle, restored
 from .mixing import mix_sources
 from .order_minhash import order_fingerprints
 from .packing import pack_documents
@@ -111,6 +112,49 @@ def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged for filling in the middle, and restored again."""
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored("output", "form").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+_OP12_SQL = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), cut AS (
+    SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+        CAST('0x' || substr(h, 1, 8) AS BIGINT) % (length(t) + 1) AS a,
+        CAST('0x' || substr(h, 9, 8) AS BIGINT) % (length(t) + 1) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT doc_id, t, n, form, least(a, b) AS first, greatest(a, b) AS second,
+        substr(t, 1, least(a, b)) AS prefix,
+        substr(t, least(a, b) + 1, greatest(a, b) - least(a, b)) AS middle,
+        substr(t, greatest(a, b) + 1) AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN CAST(first AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(second - first AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_shard": op2_shard,
@@ -122,6 +166,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_order_minhash": op9_order_minhash,
     "op10_pack": op10_pack,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
-ORACLE = {"op4_top_k": _OP4_SQL}
+ORACLE = {"op4_top_k": _OP4_SQL, "op12_fill_in_middle": _OP12_SQL}
