@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .codebooks import compress_vectors, with_label_errors
 from .common import default_tokenizer, table
 from .language import identify_languages
 from .maxent import score_texts
@@ -112,6 +113,61 @@ def op10_pack(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, and what they are off by."""
+    found = compress_vectors(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(found.rows).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(found.digest()).alias("codebooks_sha256"),
+    )
+
+
+# The vectors of these tables have 64 components, so each of 16 parts has four.
+_OP11_NEAR = """
+near_{after} AS MATERIALIZED (
+    SELECT p.place, p.part,
+        min(list_sum([(p.w[i] - b.w[i]) * (p.w[i] - b.w[i]) FOR i IN [1, 2, 3, 4]]) * 64 + b.entry) AS best
+    FROM parts p JOIN {before} b USING (part)
+    GROUP BY p.place, p.part
+)"""
+_OP11_MEAN = """
+{after} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.w, b.w) AS w
+    FROM {before} b LEFT JOIN (
+        SELECT part, CAST(best % 64 AS BIGINT) AS entry,
+            [CAST(floor(sum(w[1]) / count(*)) AS BIGINT), CAST(floor(sum(w[2]) / count(*)) AS BIGINT),
+             CAST(floor(sum(w[3]) / count(*)) AS BIGINT), CAST(floor(sum(w[4]) / count(*)) AS BIGINT)] AS w
+        FROM parts JOIN near_{after} USING (place, part) GROUP BY ALL
+    ) m USING (part, entry)
+)"""
+_OP11_SQL = f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS place,
+        [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(CAST(x AS DOUBLE))]) = 0
+), parts AS MATERIALIZED (
+    SELECT place, part, [v[4 * part + 1], v[4 * part + 2], v[4 * part + 3], v[4 * part + 4]] AS w
+    FROM kept, range(16) AS r(part)
+), book0 AS MATERIALIZED (
+    SELECT part, place - 1 AS entry, w FROM parts WHERE place <= 64
+), {_OP11_NEAR.format(before="book0", after="book1")}, {_OP11_MEAN.format(before="book0", after="book1")},
+{_OP11_NEAR.format(before="book1", after="book2")}, {_OP11_MEAN.format(before="book1", after="book2")},
+{_OP11_NEAR.format(before="book2", after="codes")}, coded AS (
+    SELECT place, string_agg(printf('%02x', CAST(best % 64 AS BIGINT)), '' ORDER BY part) AS code,
+        CAST(sum(best // 64) AS BIGINT) AS error
+    FROM near_codes GROUP BY place
+), books AS (
+    SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (place), books
+"""
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents rearranged for filling in the middle, and restored again."""
     made = fill_in_middle(table(spark, sf_dir, "documents"))
@@ -166,7 +222,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_order_minhash": op9_order_minhash,
     "op10_pack": op10_pack,
+    "op11_vector_codes": op11_vector_codes,
     "op12_fill_in_middle": op12_fill_in_middle,
 }
 
-ORACLE = {"op4_top_k": _OP4_SQL, "op12_fill_in_middle": _OP12_SQL}
+ORACLE = {"op4_top_k": _OP4_SQL, "op11_vector_codes": _OP11_SQL, "op12_fill_in_middle": _OP12_SQL}
