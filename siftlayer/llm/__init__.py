@@ -1,4 +1,4 @@
-"""Operators for training-data pipelines: ten methods, each a module of its own.
+"""Operators for training-data pipelines: thirteen methods, each a module of its own.
 
 Every operator takes DataFrames and returns a DataFrame.  Nothing else in the
 library imports this package.  Input rows travel as one struct column ``row``

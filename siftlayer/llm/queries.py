@@ -14,6 +14,7 @@ from .mixing import mix_sources
 from .order_minhash import order_fingerprints
 from .packing import pack_documents
 from .pages import main_texts
+from .permutations import near_neighbours
 from .pivots import exact_top_k
 from .sharding import shard_by_bytes
 from .simhash import near_duplicates
@@ -211,6 +212,11 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors found for every twentieth one."""
+    return near_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_shard": op2_shard,
@@ -224,6 +230,7 @@ QUERIES = {
     "op10_pack": op10_pack,
     "op11_vector_codes": op11_vector_codes,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_permutation_index": op13_permutation_index,
 }
 
 ORACLE = {"op4_top_k": _OP4_SQL, "op11_vector_codes": _OP11_SQL, "op12_fill_in_middle": _OP12_SQL}
