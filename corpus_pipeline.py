@@ -8,24 +8,38 @@ from pyspark.sql import functions as F
 from siftlayer.llm.common import Workspace, default_tokenizer, table
 from siftlayer.llm.language import UNKNOWN, identify_languages
 from siftlayer.llm.mixing import mixed_rows
-from siftlayer.llm.near_copies import near_copies
 from siftlayer.llm.packing import pack_documents
+from siftlayer.llm.simhash import RADIUS, SHINGLE, near_duplicates
 from siftlayer.llm.suffixes import remove_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network can tell; those without letters go."""
-    return identify_languages(docs).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """Documents in a language that the network can tell; those without letters go.
+
+    Where no labelled row lies outside the held-out fold nothing is learnt, every
+    prediction is unknown, and only the rows without a letter go.
+    """
+    told = F.col("lang_pred") != UNKNOWN
+    untaught = ~told & F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False))
+    return identify_languages(docs).where(told | untaught).select("row.*")
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates.
+    """One document of each group whose fingerprints link: the one with the least id.
 
-    Near-duplicates share four fifths of their five-word shingles.  A document
-    without an id stays, as do rows repeated under one id.
+    Of rows without an id, or equal ones, the first read stays; an id comes
+    before none.  Rows are told apart by a number of their own, so one id may
+    hold several texts.
     """
-    others = near_copies(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("other"))
-    return docs.join(others.distinct(), F.col("doc_id") == F.col("other"), "left_anti")
+    number = "number_" + "_".join(docs.columns)  # no column is called like that
+    rows = Workspace(spark).keep(docs.withColumn(number, F.monotonically_increasing_id()))
+    id_and_text = rows.select(F.col(number).alias("doc_id"), "text")
+    group = near_duplicates(id_and_text, SHINGLE, RADIUS).select(F.col("doc_id").alias("row"), "component_id")
+    own = rows.select(F.col(number).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    place = F.struct(F.col("id").isNull().alias("absent"), "id", "row")
+    first = group.join(own, "row").groupBy("component_id").agg(F.min(place).alias("first"))
+    kept = first.select(F.col("first.row").alias(number))
+    return rows.join(kept, number, "left_semi").select(*[rows[f"`{name}`"] for name in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
