@@ -64,3 +64,28 @@ def test_query_matches_sql(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     assert found.columns == expected.columns
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected.fetchall()))
+
+
+def test_one_row_of_each_group_of_near_copies_stays(spark, documents):
+    """Rows without an id, rows repeated whole, and one id with two texts."""
+    from siftlayer.llm.simhash import _bit_sums, fingerprint
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(5)]
+    rows = [(7, texts[0], "en", "s"), (3, texts[0] + " end", "en", "s"), (7, texts[1], "en", "s")]
+    rows += [(None, texts[2], "en", "s")] * 20 + [(None, texts[0], "en", "s"), (None, None, None, None)]
+    rows += [(9, texts[3], "en", "s")] * 20 + [(9, texts[4], "en", "t"), (10, "", "en", "s")]
+    docs = documents(rows).repartition(4)
+    prints = {text: fingerprint(text or "", 4, _bit_sums()) % 2**64 for _, text, *_ in rows}
+    groups = {}
+    for doc_id, text, *_ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        near = [t for t in groups if (prints[t] ^ prints[text]).bit_count() <= 4]
+        groups.setdefault(near[0] if near else text, doc_id)
+    kept = corpus_pipeline.near_duplicate(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]) for r in kept)) == sorted(map(str, groups.values()))
+    assert docs.columns == corpus_pipeline.near_duplicate(spark, docs, "").columns
+
+
+def test_language_keeps_texts_where_nothing_is_labelled(spark, documents):
+    docs = documents([(1, "some words", None, "s"), (2, "123", None, "s"), (3, None, None, "s"), (4, "più parole", None, "s")])
+    docs = docs.drop("row", "bucket", "part")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 4]
