@@ -115,7 +115,7 @@ def refine(
     Counters inside the job would count the rows of a task again when its
     executor is lost.
     """
-    bronze = read_snapshot(spark, layers.bronze)
+    bronze = read_snapshot(spark, layers.bronze, partitions=False)
     silver = trips.to_silver(bronze, options.on_error, options.keep, options.extra)
     with tuned_for(bronze, _TYPED_GROWTH, options.width):
         replace_table(silver, layers.silver, layers.location("silver"))
@@ -138,6 +138,7 @@ def publish(spark: SparkSession, layers: Layers, options: Options = Options()) -
             trips.GOLD_ORDER,
             options.curve,
             location=layers.location("gold"),
+            width=options.width,
         )
 
 

@@ -23,12 +23,15 @@ from siftlayer.operators import (
 )
 from siftlayer.operators.lineage import INGESTED_AT, SOURCE_FILE
 from siftlayer.operators.validity import all_of, non_negative, not_before, positive
-from siftlayer.plans.schemas import BRONZE, MONTH, SILVER, TRIP_FILE, conform, gold
+from siftlayer.plans.schemas import BRONZE, LINEAGE, MONTH, SILVER, TRIP_FILE, conform, gold
 
 # The text columns of a trip file, in file order.
 RAW = TRIP_FILE
 PARTITIONS = tuple(MONTH.names)
 
+# What silver is made of: bronze without the columns it is partitioned by.
+ARRIVED = T.StructType([*TRIP_FILE, *LINEAGE])
+
 # Silver columns that have another name in the files.
 RENAMED = {
     "pickup_datetime": "tpep_pickup_datetime",
@@ -121,7 +124,7 @@ def to_silver(
     Columns that later files brought are dropped, or carried to the end with
     ``extra="carry"``.
     """
-    known = conform(bronze, BRONZE, extra).drop(*PARTITIONS)
+    known = conform(bronze.drop(*PARTITIONS), ARRIVED, extra)
     rows = unique(valid(apply_types(known, FIELDS, on_error)), keep)
     calendar = add_month_partitions(rows, F.col("pickup_datetime"), *PARTITIONS)
     return conform(derived(calendar), SILVER, extra)

@@ -17,7 +17,16 @@ from siftlayer.operators.layout import (
     order_by_range,
     quantile_bounds,
 )
-from siftlayer.sources.tables import table_details
+from siftlayer.sources.tables import (
+    current_version,
+    is_version,
+    partition_columns,
+    qualified,
+    read_table,
+    table_details,
+    table_properties,
+    view_of,
+)
 from siftlayer.tuning import Width, file_size, tuned_for
 
 log = logging.getLogger(__name__)
@@ -32,10 +41,6 @@ def _default_location(spark: SparkSession, name: str) -> str:
     return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
 
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-
-
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -77,7 +82,8 @@ def _register_folder(
 
 def _grow_schema(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Add the columns the table lacks, pad the ones the frame lacks."""
-    existing = {f.name.lower(): f for f in spark.table(name).schema.fields}
+    schema = spark.table(name).schema
+    existing = {f.name.lower(): f for f in schema.fields}
     arriving = {f.name.lower(): f for f in df.schema.fields}
     for key in existing.keys() & arriving.keys():
         if existing[key].dataType != arriving[key].dataType:
@@ -90,12 +96,13 @@ def _grow_schema(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+        schema = spark.table(name).schema
     return df.select(
         *(
             F.col(f.name)
             if f.name.lower() in arriving
             else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spark.table(name).schema.fields
+            for f in schema.fields
         )
     )
 
@@ -128,21 +135,30 @@ def append_partitioned(
     if mode != "append":
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
     folder = (location or _default_location(spark, name)).rstrip("/")
-    if not spark.catalog.tableExists(name):
-        _register_folder(spark, df, name, partition_by, folder)
     exists = spark.catalog.tableExists(name)
+    if not exists:
+        _register_folder(spark, df, name, partition_by, folder)
+        exists = spark.catalog.tableExists(name)
+    target = current_version(spark, name) if exists else name
     if exists:
-        rows = _grow_schema(spark, df, name)
+        rows = _grow_schema(spark, df, target)
+        grown = target != name and len(rows.columns) > len(spark.table(name).columns)
         rows = rows.hint("rebalance", *partition_by) if rebalance else rows
     writer = rows.write.format("parquet").mode("append").partitionBy(*partition_by)
     with file_size(spark, file_bytes):
-        (writer if exists else writer.option("path", folder)).saveAsTable(name)
+        (writer if exists else writer.option("path", folder)).saveAsTable(target)
+    if exists and grown:
+        spark.sql(f"ALTER VIEW {name} AS {view_of(target)}")
 
 
 # Replacing.
+#
+# A name that replace_table makes is a view of one table, the current version.  ALTER
+# VIEW switches it in one call to the catalog, whatever changes: rows, columns, types
+# or partitioning.  (CREATE OR REPLACE VIEW would drop the view and create another.)
 
 
-def _base(spark: SparkSession, name: str, location: str | None) -> str:
+def _base(spark: SparkSession, name: str, location: str | None, details: dict[str, str] | None) -> str:
     """The folder below which the versions of a table go.
 
     It is the given one, or where the table's versions lie already.  A managed
@@ -150,37 +166,38 @@ def _base(spark: SparkSession, name: str, location: str | None) -> str:
     """
     if location is not None:
         base = location.rstrip("/")
-    elif not spark.catalog.tableExists(name):
+    elif details is None:
         return _default_location(spark, name)
     else:
-        base = table_details(spark, name)["Location"].partition(_VERSIONS)[0].rstrip("/")
-    if spark.catalog.tableExists(name):
-        details = table_details(spark, name)
+        base = details["Location"].partition(_VERSIONS)[0].rstrip("/")
+    if details is not None and details["Type"] == "MANAGED":
         own = details["Location"].rstrip("/")
-        inside = base == own or base.startswith(f"{own}/") or base == own.partition(":")[2]
-        if details["Type"] == "MANAGED" and inside:
+        if base == own or base.startswith(f"{own}/") or base == own.partition(":")[2]:
             return f"{base}_external"
     return base
 
 
-def _describe(spark: SparkSession, old: str, new: str) -> None:
-    """Carry the comment, the properties and the column comments over to another table."""
-    comment = table_details(spark, old).get("Comment")
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {new} IS {_quoted(comment)}")
-    kept = [
-        f"{_quoted(row['key'])} = {_quoted(row['value'])}"
-        for row in spark.sql(f"SHOW TBLPROPERTIES {old}").collect()
-        if not row["key"].startswith(("transient_", "spark.sql.")) and row["key"] not in _RESERVED
-    ]
-    if kept:
-        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({', '.join(kept)})")
-    columns = set(spark.table(new).columns)
-    for column in spark.catalog.listColumns(old):
-        if column.description and column.name in columns:
-            spark.sql(
-                f"ALTER TABLE {new} ALTER COLUMN `{column.name}` COMMENT {_quoted(column.description)}"
-            )
+def _kept_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    kept = table_properties(spark, name).items()
+    return {k: v for k, v in kept if not k.startswith(("transient_", "spark.sql.")) and k not in _RESERVED}
+
+
+def _described(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The frame with the column comments of a table."""
+    comments = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
+    for column in df.columns:
+        if column in comments and "comment" not in df.schema[column].metadata:
+            df = df.withMetadata(column, df.schema[column].metadata | {"comment": comments[column]})
+    return df
+
+
+def _forget(spark: SparkSession, name: str, *kept: str) -> None:
+    """Take versions of a name out of the catalog but for some; their files stay."""
+    database, _, table = qualified(spark, name).rpartition(".")
+    for found in spark.catalog.listTables(database, f"{table}_*"):
+        version = f"{database}.{found.name}"
+        if found.tableType == "EXTERNAL" and is_version(version, name) and version not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
 
 
 def replace_table(
@@ -196,38 +213,57 @@ def replace_table(
     the table it replaces.  Comments and properties stay.  ``partition_by`` left
     out keeps the table's partitioning, as far as the rows have those columns.
 
-    For an unpartitioned external table of the same schema the switch is one
-    change of its location, and readers that started before finish on the old
-    version.  In all other cases the old entry is dropped and the new one renamed:
-    between the two the name is absent.  A managed table loses its old files with
-    its entry and is external afterwards.  Old folders of external tables stay for
-    the caller's retention job.
+    A name made here is a view of its current version, an external table called
+    like it with a suffix.  One call to the catalog switches the view, so the name is
+    never absent, whatever becomes of schema and partitioning, and a crash leaves it
+    on one version or the other.  The version before stays in the catalog for
+    readers that have begun; older entries go, and the files of all stay for the
+    caller's retention job.
+
+    A name that is a table already keeps being one where it is external,
+    unpartitioned and of the same schema: its location changes, in one statement.
+    Any other table is dropped and turned into a view, this one time: in between
+    the name is absent, and a managed table's old files go with its entry.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
+    version = current_version(spark, name) if exists else name
+    details = table_details(spark, version) if exists else None
+    if details is not None and details["Type"] not in ("MANAGED", "EXTERNAL"):
+        raise ValueError(f"{name} is a view that shows no version of a table: it cannot be replaced")
+    before = partition_columns(spark, version) if exists else []
     if partition_by is None:
-        partition_by = _partition_columns(spark, name) if exists else []
-        partition_by = [c for c in partition_by if c in df.columns]
-    folder = f"{_base(spark, name, location)}{_VERSIONS}{uuid.uuid4().hex}"
-    plain = exists and not partition_by and not _partition_columns(spark, name)
+        partition_by = [c for c in before if c in df.columns]
+    folder = f"{_base(spark, name, location, details)}{_VERSIONS}{uuid.uuid4().hex}"
     if (
-        plain
-        and table_details(spark, name)["Type"] == "EXTERNAL"
-        and table_details(spark, name)["Provider"].lower() == "parquet"
+        details is not None
+        and version == name
+        and not partition_by
+        and not before
+        and details["Type"] == "EXTERNAL"
+        and details["Provider"].lower() == "parquet"
         and _nullable(spark.table(name).schema) == _nullable(df.schema)
     ):
         df.write.format("parquet").mode("errorifexists").save(folder)
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
         spark.catalog.refreshTable(name)
+        log.info("table %s now reads %s", name, folder)
+        return folder
+    fresh = f"{qualified(spark, name)}_{uuid.uuid4().hex}"
+    rows = _described(spark, df, name) if exists else df
+    writer = rows.write.format("parquet").option("path", folder)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(fresh)
+    if exists and version != name:
+        spark.sql(f"ALTER VIEW {name} AS {view_of(fresh)}")
     else:
-        fresh = f"{name}_{uuid.uuid4().hex}"
-        writer = df.write.format("parquet").option("path", folder)
-        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(fresh)
+        told = f" COMMENT {_quoted(details['Comment'])}" if details and details.get("Comment") else ""
         if exists:
-            _describe(spark, name, fresh)
+            kept = [f"{_quoted(k)} = {_quoted(v)}" for k, v in _kept_properties(spark, name).items()]
+            told += f" TBLPROPERTIES ({', '.join(kept)})" if kept else ""
             spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-    log.info("table %s now reads %s", name, folder)
+        spark.sql(f"CREATE VIEW {name}{told} AS {view_of(fresh)}")
+    _forget(spark, name, fresh, version)
+    log.info("table %s now shows %s in %s", name, fresh, folder)
     return folder
 
 
@@ -246,7 +282,7 @@ def recluster_table(
     Small files are merged on the way.  ``curve`` is ``"morton"`` (Z-order) or
     ``"linear"``.  The rows stay the same.
     """
-    df = spark.read.table(name)
+    df = read_table(spark, name)
     spread = file_position()
     if curve == "linear":
         placed = order_by_range(df, columns, spread, partitions)

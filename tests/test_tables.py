@@ -1,5 +1,6 @@
 """Sources, sinks, layout and jobs on small tables in a temporary folder."""
 
+import threading
 import uuid
 
 import pytest
@@ -12,7 +13,7 @@ from siftlayer.plans.jobs import Stage
 from siftlayer.plans.schemas import BRONZE, GOLD, SILVER, TRIP_FILE
 from siftlayer.sinks import append_partitioned, recluster_table, replace_table
 from siftlayer.sources import TextSource, locate, read_snapshot
-from siftlayer.sources.tables import table_details
+from siftlayer.sources.tables import current_version, partition_columns, table_details
 from siftlayer.workspace import shared_folder
 from tests.fixtures import NEGATIVE_FARE, VALID, arrived, bronze, trip
 
@@ -158,10 +159,10 @@ def test_replace_from_every_state(spark, name, tmp_path, state, wider):
         assert spark.table(name).select(new.columns).collect() == new.collect()
         spark.catalog.refreshTable(name)
         assert spark.table(name).count() == 1
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    assert parts == (["p"] if "partitioned" in state else [])
+    version = current_version(spark, name)
+    assert partition_columns(spark, version) == (["p"] if "partitioned" in state else [])
     if "external" in state:  # it stays where it was
-        assert f"{tmp_path}/{name}_own/_versions/" in table_details(spark, name)["Location"]
+        assert f"{tmp_path}/{name}_own/_versions/" in table_details(spark, version)["Location"]
         assert len(list((tmp_path / f"{name}_own").rglob("*.parquet"))) >= 3
 
 
@@ -219,6 +220,103 @@ def test_replace_keeps_comments_and_properties(spark, name, tmp_path):
     assert {c.name: c.description for c in spark.catalog.listColumns(name)}["id"] == "a number"
 
 
+class Lost(Exception):
+    """Stands for a driver that is lost."""
+
+
+def _statements(monkeypatch, spark, stop_before=None):
+    """Count the statements that change the catalog; be lost before one of them."""
+    seen, plain = [], type(spark).sql
+
+    def sql(self, text, *args, **kwargs):
+        if text.split()[0] in ("CREATE", "ALTER", "DROP"):
+            if len(seen) == stop_before:
+                raise Lost(text)
+            seen.append(text)
+        return plain(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    return seen
+
+
+def _replace(spark, name, number):
+    """Rows of changing number, columns, types and partitioning."""
+    columns = [("v", F.col("id") * 1.5), ("v", F.col("id").cast("string")), ("w", F.lit(number))]
+    column, value = columns[number % 3]
+    df = spark.range(number + 1).withColumn(column, value).withColumn("p", F.col("id") % 2)
+    replace_table(df, name, partition_by=["p"] if number % 2 else [])
+
+
+def test_the_name_is_there_while_its_schema_changes(spark, name):
+    """A reader that asks for the name all the time, through changes of columns, types and partitioning."""
+    _replace(spark, name, 0)
+    stop, problems, counts = threading.Event(), [], []
+
+    def read():
+        other = spark.newSession()
+        while not stop.is_set():
+            try:
+                counts.append(len(other.table(name).collect()))
+            except Exception as error:  # noqa: BLE001 - any failure counts
+                problems.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for number in range(1, 13):
+            _replace(spark, name, number)
+    finally:
+        stop.set()
+        reader.join()
+    assert not problems
+    assert len(set(counts)) > 2 and set(counts) <= set(range(1, 14)) and counts == sorted(counts)
+    entries = [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
+    assert len(entries) == 3  # the name, the version shown and the one before
+
+
+@pytest.mark.parametrize("state", ["missing", "external", "replaced"])
+def test_a_crash_leaves_one_version_or_the_other(spark, tmp_path, monkeypatch, state):
+    lost_at = 0
+    while True:
+        name = f"t_{uuid.uuid4().hex}"
+        rows = _start(spark, name, tmp_path, "external" if state == "external" else "missing")
+        if state == "replaced":
+            for _ in range(2):
+                replace_table(rows, name)
+        new = rows.limit(1) if state == "external" else rows.limit(1).withColumn("x", F.lit(1))
+        with monkeypatch.context() as patch:
+            _statements(patch, spark, lost_at)
+            try:
+                replace_table(new, name)
+                assert lost_at > 0
+                return
+            except Lost:
+                pass
+        if state == "missing":
+            assert not spark.catalog.tableExists(name)
+        else:
+            assert spark.table(name).count() in (1, 2)
+        replace_table(new, name)
+        assert spark.table(name).count() == 1
+        lost_at += 1
+
+
+def test_a_view_of_others_is_not_replaced(spark, name):
+    spark.sql(f"CREATE VIEW {name} AS SELECT 1 AS id")
+    with pytest.raises(ValueError, match="is a view"):
+        replace_table(spark.range(1), name)
+
+
+def test_append_to_a_replaced_table_shows_new_columns(spark, name, tmp_path):
+    rows = spark.createDataFrame([(1, 7)], "id int, p int")
+    append_partitioned(rows, name, ["p"], str(tmp_path / name))
+    append_partitioned(rows, name, ["p"], str(tmp_path / name), mode="overwrite")
+    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('team' = 'harbour')")
+    append_partitioned(rows.withColumn("more", F.lit("x")), name, ["p"], str(tmp_path / name))
+    assert {(r["id"], r["more"]) for r in spark.table(name).collect()} == {(1, None), (1, "x")}
+    assert spark.sql(f"SHOW TBLPROPERTIES {name} ('team')").first()["value"] == "harbour"
+
+
 def test_readers_of_the_folder_do_not_see_versions(spark, name, tmp_path):
     location = str(tmp_path / name)
     for count in (1, 2):
@@ -365,6 +463,68 @@ def test_a_snapshot_does_not_see_later_files(spark, name, tmp_path):
     assert (now.count(), spark.table(name).count()) == (1, 2)
 
 
+def _as_set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_a_snapshot_has_the_partitions_of_the_catalog(spark, name, tmp_path, kind):
+    """Partitions dropped, added with folders of their own and of misleading names; odd characters."""
+    rows = spark.createDataFrame(
+        [(1, "a b"), (2, "c/d"), (3, "e%20f"), (4, "[g]*"), (5, None), (6, "gone"), (7, "h=i")], "id int, p string"
+    )
+    rows.write.format(kind).option("path", str(tmp_path / "a b")).partitionBy("p").saveAsTable(name)
+    spark.sql(f"ALTER TABLE {name} DROP PARTITION (p = 'gone')")
+    spark.range(8, 9).select(F.col("id").cast("int")).write.format(kind).save(str(tmp_path / "p=a b"))
+    spark.sql(f"ALTER TABLE {name} ADD PARTITION (p = 'far') LOCATION '{tmp_path}/p=a b'")
+    expected = _as_set(spark.table(name))
+    assert (8, "far") in expected and (6, "gone") not in expected and len(expected) == 7
+    now, plain = read_snapshot(spark, name), read_snapshot(spark, name, partitions=False)
+    assert now.schema == spark.table(name).schema and plain.columns == ["id"]
+    assert _as_set(now) == expected and _as_set(plain) == {(i,) for i, _ in expected}
+    spark.sql(f"ALTER TABLE {name} DROP PARTITION (p = 'far')")
+    spark.sql(f"INSERT INTO {name} VALUES (9, 'late')")
+    assert _as_set(now) == expected
+
+
+def test_snapshots_of_what_has_no_files(spark, name, tmp_path):
+    spark.range(5).createOrReplaceTempView(f"{name}_temp")
+    spark.range(3).write.format("csv").option("path", str(tmp_path / "csv")).saveAsTable(f"{name}_csv")
+    spark.sql(f"CREATE VIEW {name}_view AS SELECT id FROM {name}_csv WHERE id > 0")
+    for suffix, count in (("temp", 5), ("view", 2), ("csv", 3)):
+        now = read_snapshot(spark, f"{name}_{suffix}")
+        if suffix == "csv":
+            spark.sql(f"INSERT INTO {name}_csv VALUES (4)")
+        assert now.count() == count and now.columns == ["id"]
+    spark.sql(f"CREATE TABLE {name} (id INT, p INT) USING parquet PARTITIONED BY (p)")
+    empty = read_snapshot(spark, name)
+    assert empty.count() == 0 and empty.columns == ["id", "p"]
+    replace_table(spark.range(4), name)
+    assert read_snapshot(spark, name).count() == 4
+
+
+def test_silver_from_other_formats_and_places(spark, layers, tmp_path):
+    """Bronze as ORC and as a view gives what parquet gives."""
+    rows = arrived(spark, VALID, NEGATIVE_FARE, trip("other"))
+    append_partitioned(rows, layers.bronze, trips.PARTITIONS, layers.location("bronze"))
+    rows.write.format("orc").option("path", str(tmp_path / "orc")).saveAsTable(f"{layers.bronze}_orc")
+    spark.sql(f"CREATE VIEW {layers.bronze}_view AS SELECT * FROM {layers.bronze}_orc")
+    found = []
+    for suffix in ("", "_orc", "_view"):
+        silver = f"{layers.silver}{suffix}"
+        assert jobs.refine(spark, jobs.Layers(f"{layers.bronze}{suffix}", silver, "unused")) == (3, 2)
+        found.append(_as_set(spark.table(silver)))
+    assert found[0] == found[1] == found[2]
+
+
+def test_the_width_of_a_job_reaches_the_clustering(spark, layers, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs, "recluster_table", lambda *args, **named: seen.append(named["width"]))
+    width = tuning.Width(partitions=3)
+    jobs.run(spark, layers, [_trip_file(tmp_path, VALID)], options=jobs.Options(width=width))
+    assert seen == [width]
+
+
 def test_bigint_counts_reach_gold(spark, layers, tmp_path):
     files = _trip_file(tmp_path, VALID)
     jobs.run(spark, layers, [files], options=jobs.Options(count_type="bigint"))

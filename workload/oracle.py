@@ -295,6 +295,19 @@ dated AS (
 SELECT * FROM dated UNION ALL SELECT * FROM dated""",
     "silver_job": _select(_SILVER, "*", "silver"),
     "silver_after_growth": _select(_SILVER, "*", "silver"),
+    "silver_after_partition_drop": """
+WITH months AS (
+  SELECT *, CAST(year(l_shipdate) AS INTEGER) AS pickup_year, CAST(month(l_shipdate) AS INTEGER) AS pickup_month
+  FROM lineitem
+), bronze AS (
+  SELECT * FROM months WHERE l_orderkey % 97 = 0 OR NOT (pickup_year = 1995 AND pickup_month = 3)
+)
+SELECT pickup_year, pickup_month,
+       count(DISTINCT (l_returnflag, CAST(l_shipdate AS DATE), l_suppkey, l_partkey, l_linenumber, l_quantity,
+                       l_extendedprice)) AS trips,
+       (SELECT count(*) FROM bronze) AS rows_in
+FROM bronze WHERE l_orderkey % 97 <> 0 AND l_extendedprice >= 0 AND l_linenumber > 0
+GROUP BY pickup_year, pickup_month""",
     "silver_job_counts": f"""
 WITH {_SILVER}
 SELECT (SELECT count(*) FROM silver) AS rows_in_table,

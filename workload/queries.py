@@ -488,6 +488,26 @@ def silver_after_growth(spark, sf_dir):
     return _visible(read_table(spark, layers.silver))
 
 
+def silver_after_partition_drop(spark, sf_dir):
+    """Bronze loses one month and gets another from a folder of its own; silver follows the catalog."""
+    layers = _fresh_layers(spark)
+    arrived = trips.to_bronze(inputs.line_trips(spark, sf_dir))
+    elsewhere = "pickup_year = 1996 AND pickup_month = 7"
+    _append(arrived.where(f"NOT coalesce({elsewhere}, false)"), layers)
+    spark.sql(f"ALTER TABLE {layers.bronze} DROP PARTITION (pickup_year = 1995, pickup_month = 3)")
+    folder = f"{layers.folder}/one_month"
+    arrived.where(elsewhere).drop(*trips.PARTITIONS).write.parquet(folder)
+    spark.sql(
+        f"ALTER TABLE {layers.bronze} ADD PARTITION (pickup_year = 1996, pickup_month = 7) LOCATION '{folder}'"
+    )
+    rows_in, _ = jobs.refine(spark, layers)
+    silver = read_table(spark, layers.silver)
+    months = {c: F.col(c) for c in trips.PARTITIONS}
+    return summarise(silver, months, row_count("trips", "bigint")).withColumn(
+        "rows_in", F.lit(rows_in).cast("bigint")
+    )
+
+
 def silver_job_counts(spark, sf_dir):
     """What the silver job reports, next to its result."""
     layers, report = _after(spark, sf_dir, BRONZE, BRONZE, SILVER)
@@ -559,6 +579,7 @@ QUERIES = {
         bronze_job,
         silver_job,
         silver_after_growth,
+        silver_after_partition_drop,
         silver_job_counts,
         gold_job,
         full_pipeline,
