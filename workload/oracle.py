@@ -172,9 +172,21 @@ SELECT '{column}' AS filtered, TRUE AS skips, count(*) AS matched
 FROM lineitem WHERE {column} <= (SELECT max({column}) / 8 FROM lineitem)"""
 
 
-_SHOWN = ", ".join(
-    f"CAST(CAST(CAST({c} AS DECIMAL(28,6)) AS DECIMAL(20,4)) AS DOUBLE) AS {c}"
-    for c in ("total_revenue", "avg_fare", "avg_tip", "revenue_per_mile")
+def _exact(column: str) -> str:
+    """Exact sum of doubles, added as integers of 2^-72; digits, unlike a cast, are rounded once."""
+    units = f"sum(CAST({column} * pow(2.0, 72) AS HUGEINT))"
+    return f"(CAST(CAST({units} AS VARCHAR) AS DOUBLE) / pow(2.0, 72))"
+
+
+_GOLD_EXACT = _gold(
+    _LINES,
+    "lines",
+    _COUNT,
+    f"{_exact('total_amount')} AS total_revenue",
+    f"{_exact('fare_amount')} / count(fare_amount) AS avg_fare",
+    f"{_exact('tip_amount')} / count(tip_amount) AS avg_tip",
+    f"""CASE WHEN {_exact('trip_distance')} > 0
+       THEN {_exact('total_amount')} / {_exact('trip_distance')} ELSE 0.0 END AS revenue_per_mile""",
 )
 
 
@@ -273,9 +285,7 @@ SELECT (SELECT 2 * count(*) FROM typed) AS rows_in,
     "gold_ratio": _gold(_LINES, "lines", _PER_MILE),
     "gold_metrics": _GOLD_OF_LINES,
     "gold_bigint": _GOLD_OF_LINES.replace("CAST(count(*) AS INTEGER)", "count(*)"),
-    "gold_metrics_default": f"""
-SELECT zone_id, year, month, total_trips, {_SHOWN}
-FROM ({_GOLD_OF_LINES})""",
+    "gold_metrics_default": _GOLD_EXACT,
     "gold_metrics_of_trips": _GOLD_OF_TRIPS,
     "silver_replace": _select(_SILVER, "*", "silver"),
     "gold_replace": _GOLD_OF_LINES,
