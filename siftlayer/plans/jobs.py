@@ -46,6 +46,7 @@ class Options:
     bronze_mode: str = "append"  # or "overwrite"
     rebalance: bool | None = None
     file_bytes: int | None = None  # of shuffled rows, with rebalance
+    written_bytes: int | None = None  # of bronze files on disk; goes before rebalance
     scale: int | None = None
     count_type: str = "int"  # or "bigint"
     optimize: bool = True
@@ -102,6 +103,7 @@ def ingest(
             options.rebalance,
             options.file_bytes,
             options.bronze_mode,
+            options.written_bytes,
         )
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +20,7 @@ from siftlayer.operators.layout import (
     order_by_range,
     quantile_bounds,
 )
+from siftlayer.sinks.sizing import bytes_a_row, dealt_to_files
 from siftlayer.sources.tables import (
     current_version,
     is_version,
@@ -33,6 +37,7 @@ log = logging.getLogger(__name__)
 
 # Below a table's folder; readers of the folder itself skip names like this.
 _VERSIONS = "/_versions/"
+_SPREAD = "_spread_of_row"
 
 
 def _default_location(spark: SparkSession, name: str) -> str:
@@ -115,6 +120,7 @@ def append_partitioned(
     rebalance: bool | None = None,
     file_bytes: int | None = None,
     mode: str = "append",
+    written_bytes: int | None = None,
 ) -> None:
     """Append rows to a partitioned table, creating it on first use.
 
@@ -123,27 +129,38 @@ def append_partitioned(
     existing files are never removed.  The write needs no shuffle; each task
     writes one file per partition it holds.  ``rebalance`` adds one shuffle for
     fewer and larger files: it gathers the rows of a partition and lets AQE split
-    partitions beyond ``file_bytes`` of shuffled rows.  ``mode="overwrite"``
-    replaces all contents instead, as :func:`replace_table` does.
+    partitions beyond ``file_bytes`` of shuffled rows.  ``written_bytes`` deals rows
+    to files of that size on disk instead (see :mod:`siftlayer.sinks.sizing`), for
+    which the rows are counted first.  ``mode="overwrite"`` replaces all contents, as
+    :func:`replace_table` does.
     """
     spark = df.sparkSession
-    rows = df.hint("rebalance", *partition_by) if rebalance else df
+    exists = spark.catalog.tableExists(name)
+
+    def arranged(rows: DataFrame) -> DataFrame:
+        if written_bytes is not None:
+            table = read_table(spark, name) if exists else None
+            stored = [c for c in rows.columns if c not in partition_by]
+            size = bytes_a_row(rows, table, stored)
+            return rows if size is None else dealt_to_files(rows, partition_by, max(1, round(written_bytes / size)))
+        return rows.hint("rebalance", *partition_by) if rebalance else rows
+
     if mode == "overwrite":
+        rows = arranged(df)
         with file_size(spark, file_bytes):
             replace_table(rows, name, location, partition_by)
         return
     if mode != "append":
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
     folder = (location or _default_location(spark, name)).rstrip("/")
-    exists = spark.catalog.tableExists(name)
     if not exists:
         _register_folder(spark, df, name, partition_by, folder)
         exists = spark.catalog.tableExists(name)
-    target = current_version(spark, name) if exists else name
+    target, rows = current_version(spark, name) if exists else name, df
     if exists:
         rows = _grow_schema(spark, df, target)
         grown = target != name and len(rows.columns) > len(spark.table(name).columns)
-        rows = rows.hint("rebalance", *partition_by) if rebalance else rows
+    rows = arranged(rows)
     writer = rows.write.format("parquet").mode("append").partitionBy(*partition_by)
     with file_size(spark, file_bytes):
         (writer if exists else writer.option("path", folder)).saveAsTable(target)
@@ -293,3 +310,56 @@ def recluster_table(
         raise ValueError(f"curve must be 'morton' or 'linear', not {curve!r}")
     with tuned_for(df, width=width):
         return replace_table(placed, name, location)
+
+
+def _overlapping(table: DataFrame, parts: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The partitions in which the range of some file reaches into that of another.
+
+    A sweep over the files of a partition in the order of their least rows: a file
+    overlaps when one before it goes beyond its least row.  Files that share a
+    bound do not overlap.
+    """
+    place, row = table.metadataColumn("_metadata"), F.struct(*columns)
+    ranges = table.groupBy(*parts, place["file_path"].alias("_file")).agg(
+        F.min(row).alias("_least"), F.max(row).alias("_most")
+    )
+    before = Window.partitionBy(*parts).orderBy("_least", "_most").rowsBetween(Window.unboundedPreceding, -1)
+    swept = ranges.withColumn("_reached", F.max("_most").over(before))
+    return swept.where(F.col("_reached") > F.col("_least")).select(*parts).distinct()
+
+
+def recluster_partitions(
+    spark: SparkSession, name: str, columns: Sequence[str], width: Width = Width()
+) -> list[tuple]:
+    """Sort the partitions whose files overlap in ``columns``; return the values of those rewritten.
+
+    All other partitions keep their files, so after an append only what it touched is
+    written again.  A rewritten partition goes to a new folder, sorted, and one
+    statement moves its location; readers find every partition in its old or its
+    new form.  Copies of a key are spread over several files.  The partition of null
+    values stays as it is, as no statement can name it.  Old files stay for the
+    caller's retention job.
+    """
+    version = current_version(spark, name)
+    parts = partition_columns(spark, version)
+    if not parts:
+        raise ValueError(f"{name} has no partitions: use recluster_table")
+    table = spark.read.table(version)
+    named = reduce(and_, (F.col(p).isNotNull() for p in parts))
+    found = _overlapping(table, parts, columns).where(named).collect()
+    if not found:
+        return []
+    schema = T.StructType([table.schema[p] for p in parts])
+    rows = table.withColumn(_SPREAD, file_position()).join(F.broadcast(spark.createDataFrame(found, schema)), parts)
+    base = table_details(spark, version)["Location"].partition(_VERSIONS)[0].rstrip("/")
+    folder = f"{base}{_VERSIONS}{uuid.uuid4().hex}"
+    with tuned_for(table, width=width):
+        placed = order_by_range(rows, [*parts, *columns], F.col(_SPREAD)).drop(_SPREAD)
+        placed.write.partitionBy(*parts).parquet(folder)
+    written = spark.read.schema(table.schema).parquet(folder)
+    place = F.regexp_replace(written.metadataColumn("_metadata")["file_path"], "/[^/]*$", "").alias("_place")
+    for row in written.select(*parts, place).distinct().collect():
+        spec = ", ".join(f"`{p}` = {_quoted(str(row[p]))}" for p in parts)
+        spark.sql(f"ALTER TABLE {version} PARTITION ({spec}) SET LOCATION {_quoted(unquote(row['_place']))}")
+    spark.catalog.refreshTable(version)
+    return sorted(tuple(row) for row in found)

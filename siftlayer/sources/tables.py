@@ -77,7 +77,7 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 
 
-def _plain(uri: str) -> str:
+def plain_path(uri: str) -> str:
     """A file's path in the form that readers take, with nothing that reads as a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
@@ -90,7 +90,7 @@ def _pinned(spark: SparkSession, name: str, provider: str, partitions: bool) ->
     files = table.inputFiles()
     if not files:
         return spark.createDataFrame([], table.schema).select(*shown)
-    rows = spark.read.schema(stored).format(provider).load([_plain(uri) for uri in files])
+    rows = spark.read.schema(stored).format(provider).load([plain_path(uri) for uri in files])
     if parts and partitions:
         # The values are the catalog's; a folder need not be called like its partition.
         folder = _folder(table.metadataColumn("_metadata")["file_path"]).alias(_FOLDER)

@@ -11,7 +11,7 @@ from siftlayer.operators.layout import file_position, order_by_range, quantile_b
 from siftlayer.plans import jobs, trips
 from siftlayer.plans.jobs import Stage
 from siftlayer.plans.schemas import BRONZE, GOLD, SILVER, TRIP_FILE
-from siftlayer.sinks import append_partitioned, recluster_table, replace_table
+from siftlayer.sinks import append_partitioned, recluster_partitions, recluster_table, replace_table
 from siftlayer.sources import TextSource, locate, read_snapshot
 from siftlayer.sources.tables import current_version, partition_columns, table_details
 from siftlayer.workspace import shared_folder
@@ -563,3 +563,67 @@ def test_shared_folder_follows_the_session(spark):
     folders = {shared_folder(spark), shared_folder(spark)}
     assert len(folders) == 2
     assert all(f.startswith(spark.conf.get("spark.checkpoint.dir")) for f in folders)
+
+
+def test_columns_by_name_follow_each_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    _csv(folder, "vendor_id,tpep_pickup_datetime\na,1\n", "a.csv")
+    _csv(folder, '\n TPEP_pickup_datetime ,"note, long",Vendor_ID\n2,x,b\n3\n', "b.csv")
+    _csv(folder, "note,vendor_id,vendor_id\ny,c,other\n", "c [1].csv")
+    _csv(folder, "", "empty.csv")
+    _csv(folder, "vendor_id\n" + "d\n" * 50_000, "long.csv")
+    source = TextSource("in", f"{folder}/*.csv", by_name=True)
+    with tuning.settings(spark, spark__sql__files__maxPartitionBytes=20_000):
+        rows = source.scan(spark, AB)
+        assert rows.schema == AB and rows.where("vendor_id = 'd'").count() == 50_000
+    assert _as_set(rows.where("vendor_id is null or vendor_id <> 'd'")) == {("a", "1"), ("b", "2"), (None, "3"), ("c", None)}
+    names = rows.select(F.input_file_name().alias("f"), "vendor_id").where("vendor_id = 'b'").first()["f"]
+    assert names.endswith("/b.csv")
+    blank = TextSource("none", _csv(tmp_path / "none", "", "e.csv"), by_name=True).scan(spark, AB)
+    assert blank.schema == AB and blank.count() == 0
+
+
+def test_full_files_have_the_wanted_size(spark, tmp_path):
+    """Twenty partitions of very different sizes, one null, a third of the rows equal in all columns."""
+    part = F.when(F.col("id") % 50 < 20, F.floor(F.log2(F.col("id") + 2))).cast("int")
+    text = F.when(F.col("id") % 3 > 0, F.sha2(F.col("id").cast("string"), 256)).otherwise("one row")
+    df = spark.range(0, 400_000, 1, 7).select(text.alias("x"), part.alias("p"))
+    target, name = 400_000, f"t_{uuid.uuid4().hex}"
+    for _ in range(2):
+        append_partitioned(df, name, ["p"], str(tmp_path / name), written_bytes=target)
+    assert spark.table(name).count() == 800_000
+    assert spark.table(name).exceptAll(df.unionAll(df)).isEmpty()
+    sizes = {}
+    for file in (tmp_path / name).rglob("*.parquet"):
+        sizes.setdefault(file.parent.name, []).append(file.stat().st_size)
+    assert len(sizes) >= 18
+    full = [size for own in sizes.values() for size in sorted(own)[2:]]  # each append has a last file
+    assert len(full) >= 30 and all(abs(size - target) <= target / 4 for size in full)
+    empty = f"t_{uuid.uuid4().hex}"
+    append_partitioned(df.limit(0), empty, ["p"], str(tmp_path / empty), written_bytes=target)
+    assert spark.table(empty).count() == 0
+
+
+def test_an_append_rewrites_the_partitions_it_touches(spark, name, tmp_path):
+    """One in a hundred rows arrives late; under a tenth of the files are written again."""
+    a = (F.xxhash64("id") % 1000).cast("int").alias("a")
+    df = spark.range(0, 20_000, 1, 4).select(a, F.col("id"), (F.col("id") % 20).cast("int").alias("p"), F.lit("x y").alias("q"))
+    df = df.withColumn("p", F.when(F.col("p") != 19, F.col("p")))
+    location = str(tmp_path / name)
+    append_partitioned(df, name, ["p", "q"], location)
+    first = recluster_partitions(spark, name, ["a", "id"])
+    assert first == [(p, "x y") for p in range(19)]
+    assert recluster_partitions(spark, name, ["a", "id"]) == []
+    before = set(spark.table(name).inputFiles())
+    late = df.where("p = 3").limit(200)
+    append_partitioned(late, name, ["p", "q"], location)
+    assert recluster_partitions(spark, name, ["a", "id"]) == [(3, "x y")]
+    after = set(spark.table(name).inputFiles())
+    assert len(after - before) < len(after) / 10 and len(after) > 20
+    both = df.unionAll(df.where("p = 3").limit(200))
+    assert spark.table(name).count() == 20_200 and both.exceptAll(spark.table(name)).isEmpty()
+    folder = [f for f in after - before][0]
+    assert "/_versions/" in folder
+    with pytest.raises(ValueError, match="no partitions"):
+        replace_table(spark.range(3), f"{name}_plain", location + "_plain")
+        recluster_partitions(spark, f"{name}_plain", ["id"])

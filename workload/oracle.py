@@ -197,6 +197,10 @@ def _select(ctes: str, columns: str, relation: str, where: str = "") -> str:
 ORACLE = {
     "csv_scan_strings": _select(_RAW, "*", "raw"),
     "source_fallback": _select(_RAW, "*", "raw"),
+    "csv_scan_by_header": _select(_RAW, "*", "raw"),
+    "bronze_sized_files": f"""
+SELECT CAST(year(moment) AS INTEGER) AS pickup_year, count(*) AS rows, TRUE AS near
+FROM ({_LINE_PICKUPS}) GROUP BY ALL""",
     "bronze_audit": """
 SELECT event_id, TRUE AS has_ingest_time, TRUE AS has_source_file,
        CAST(year(ts) AS INTEGER) AS pickup_year, CAST(month(ts) AS INTEGER) AS pickup_month
@@ -295,6 +299,10 @@ SELECT (SELECT 2 * count(*) FROM typed) AS rows_in,
     "layout_range": _GOLD_OF_LINES,
     "layout_zorder_files": f"{_matched('l_partkey')} UNION ALL {_matched('l_suppkey')}",
     "layout_range_files": _matched("l_partkey"),
+    "layout_overlaps": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS y, CAST(month(l_shipdate) AS INTEGER) AS m, count(*) AS rows,
+       CAST(sum(l_partkey) AS BIGINT) AS parts, year(l_shipdate) = 2000 AND month(l_shipdate) = 5 AS rewritten
+FROM lineitem GROUP BY ALL""",
     "bronze_job": f"""
 WITH {_RAW},
 dated AS (

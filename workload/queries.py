@@ -25,7 +25,12 @@ from siftlayer.operators import (
 )
 from siftlayer.operators.validity import non_negative, not_before, positive
 from siftlayer.plans import jobs, trips
-from siftlayer.sinks import append_partitioned, recluster_table, replace_table
+from siftlayer.sinks import (
+    append_partitioned,
+    recluster_partitions,
+    recluster_table,
+    replace_table,
+)
 from siftlayer.sources import TextSource, locate, read_table
 from siftlayer.workspace import shared_folder
 from workload import inputs
@@ -68,6 +73,18 @@ def source_fallback(spark, sf_dir):
     return locate(spark, sources).scan(spark, trips.RAW)
 
 
+def csv_scan_by_header(spark, sf_dir):
+    """Two deliveries under one folder: the second has its columns in another order, one more, and other case."""
+    folder = shared_folder(spark)
+    raw = inputs.raw_trips(spark, sf_dir)
+    late = F.expr("to_date(tpep_pickup_datetime) >= '2024-01-15'")
+    titles = [f.upper() if i % 2 else f for i, f in enumerate(reversed(raw.columns))]
+    other = raw.where(late).select(*(F.col(t.lower()).alias(t) for t in titles), F.lit("x").alias("note"))
+    for name, delivery in (("first", raw.where(~late)), ("second", other)):
+        delivery.write.option("header", True).csv(f"{folder}/deliveries/{name}")
+    return TextSource("trips", f"{folder}/deliveries/*/*.csv", by_name=True).scan(spark, trips.RAW)
+
+
 # --- bronze ----------------------------------------------------------------
 
 
@@ -132,6 +149,22 @@ def bronze_months(spark, sf_dir):
     return _per_month(spark, layers.bronze)
 
 
+def bronze_sized_files(spark, sf_dir):
+    """Line items by year in files of 64 KiB: whether all but the last of each year are near that."""
+    layers = _fresh_layers(spark)
+    arrived = trips.to_bronze(inputs.line_trips(spark, sf_dir)).drop("pickup_month")
+    target = 64 * 2**10
+    append_partitioned(
+        arrived, layers.bronze, ["pickup_year"], layers.location("bronze"), written_bytes=target
+    )
+    file = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("bytes"))
+    files = read_table(spark, layers.bronze).groupBy("pickup_year", file.alias("file")).count()
+    full = F.sort_array(F.collect_list("file.bytes"))
+    # The last file of a year is the smallest or, where it is full as well, any of them.
+    near = F.forall(F.slice(full, 2, F.greatest(F.size(full) - 1, F.lit(0))), lambda b: F.abs(b - target) <= target / 4)
+    return files.groupBy("pickup_year").agg(F.sum("count").alias("rows"), near.alias("near"))
+
+
 def bronze_overwrite(spark, sf_dir):
     """Events arrive, then line items in their place."""
     layers = _fresh_layers(spark)
@@ -451,6 +484,29 @@ def layout_range_files(spark, sf_dir):
     return _files_skipped(spark, sf_dir, "linear", ["l_partkey"])
 
 
+def layout_overlaps(spark, sf_dir):
+    """Line items by month, clustered; then some of one month arrive late, and only that month is rewritten."""
+    name, location = _fresh_layers(spark).gold, f"{shared_folder(spark)}/lines"
+    lines = inputs.lineitem(spark, sf_dir).withColumns(
+        {"y": F.year("l_shipdate"), "m": F.month("l_shipdate")}
+    )
+    late = F.expr("y = 2000 AND m = 5 AND l_orderkey % 2 = 0")
+    # Twice, so that every month begins with files that overlap.
+    for part in (lines.where(~late & F.expr("l_partkey % 3 = 0")), lines.where(~late & F.expr("l_partkey % 3 <> 0"))):
+        append_partitioned(part, name, ["y", "m"], location)
+    recluster_partitions(spark, name, ["l_partkey", "l_suppkey"])
+    before = [path.rpartition("/")[2] for path in read_table(spark, name).inputFiles()]
+    append_partitioned(lines.where(late), name, ["y", "m"], location)
+    recluster_partitions(spark, name, ["l_partkey", "l_suppkey"])
+    after = read_table(spark, name)
+    kept = after.metadataColumn("_metadata")["file_name"].isin(before)
+    return after.groupBy("y", "m").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("l_partkey").alias("parts"),
+        (~F.bool_or(kept)).alias("rewritten"),
+    )
+
+
 # --- jobs ------------------------------------------------------------------
 
 
@@ -533,11 +589,13 @@ QUERIES = {
     for query in (
         csv_scan_strings,
         source_fallback,
+        csv_scan_by_header,
         bronze_audit,
         bronze_partition_append,
         bronze_partition_append_rebalanced,
         bronze_months,
         bronze_overwrite,
+        bronze_sized_files,
         append_unregistered,
         typing_null_policy,
         typing_mixed_text,
@@ -573,6 +631,7 @@ QUERIES = {
         layout_range,
         layout_zorder_files,
         layout_range_files,
+        layout_overlaps,
         bronze_job,
         silver_job,
         silver_after_growth,
