@@ -24,6 +24,10 @@ _LEAST = -(2**63)
 _ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
 
 
+#: What rows are ordered by; the last is different for each row.
+KEYS = ("crc", "tie", "number")
+
+
 @dataclass
 class _Boundary:
     """The search for one splitter: ``below`` bytes lie under ``low``."""
@@ -32,44 +36,49 @@ class _Boundary:
     low: int
     high: int
     below: int = 0
-    crc: int | None = None  # set once the search is within one group of equal texts
-    found: tuple[int, int] | None = None
+    fixed: tuple[int, ...] = ()  # the values of the first keys, once the search is within one group
+    found: tuple[int, ...] | None = None
 
     @property
-    def interval(self) -> tuple[int | None, int, int]:
-        return self.crc, self.low, self.high
+    def interval(self) -> tuple[tuple[int, ...], int, int]:
+        return self.fixed, self.low, self.high
 
-    def key(self, at: int) -> tuple[int, int]:
-        return (at, _LEAST) if self.crc is None else (self.crc, at)
+    def key(self, at: int) -> tuple[int, ...]:
+        return (*self.fixed, at, *[_LEAST] * (len(KEYS) - len(self.fixed) - 1))
 
 
-def _cell(intervals: list[tuple[int | None, int, int]], probes: int) -> Column:
+def _cell(intervals: list[tuple[tuple[int, ...], int, int]], probes: int) -> Column:
     """Number of the cell between two candidates that a row lies in, null for none."""
     arms = []
-    for number, (crc, low, high) in enumerate(intervals):
+    for number, (fixed, low, high) in enumerate(intervals):
         step = -(-(high - low) // probes)
-        name = "crc" if crc is None else "tie"
-        inside = f"{name} >= {low} AND {name} < {high}" if low > _LEAST else f"{name} < {high}"
-        if crc is not None:
-            inside = f"crc = {crc} AND {inside}"
+        name = KEYS[len(fixed)]
+        inside = [f"{key} = {_long(value)}" for key, value in zip(KEYS, fixed)]
+        inside += [f"{name} >= {_long(low)}", f"{name} <= {_long(high - 1)}"]
         offset = f"(CAST({name} AS DECIMAL(20,0)) - CAST('{low}' AS DECIMAL(20,0)))"
-        arms.append(f"WHEN {inside} THEN {number * probes} + {offset} DIV {step}")
+        arms.append(f"WHEN {' AND '.join(inside)} THEN {number * probes} + {offset} DIV {step}")
     return F.expr(f"CAST(CASE {' '.join(arms)} END AS INT)")
 
 
+def _long(value: int) -> str:
+    return f"CAST('{value}' AS BIGINT)"
+
+
 def splitters(
     keys: DataFrame, shards: int, probes: int = PROBES, tolerance: float = TOLERANCE
-) -> list[tuple[int, int]]:
-    """Keys ``(crc, tie)`` at which the shards after the first begin.
+) -> list[tuple[int, ...]]:
+    """Values of ``KEYS`` at which the shards after the first begin.
 
-    ``keys`` has ``crc``, ``tie`` and ``size``.  The driver sees the sums of at
-    most ``shards * probes`` cells a round.
+    ``keys`` has these columns and ``size``.  The driver sees the sums of at most
+    ``shards * probes`` cells a round.
     """
-    total, least, most = keys.agg(F.sum("size"), F.min("tie"), F.max("tie")).first()
+    ends = [end(name) for name in KEYS[1:] for end in (F.min, F.max)]
+    total, *ends = keys.agg(F.sum("size"), *ends).first()
     if not total:
         return []
+    ranges = [(0, 2**32), *((least, most + 1) for least, most in zip(ends[::2], ends[1::2]))]
     slack = tolerance * total / shards
-    boundaries = [_Boundary(total * i / shards, 0, 2**32) for i in range(1, shards)]
+    boundaries = [_Boundary(total * i / shards, *ranges[0]) for i in range(1, shards)]
     while opened := [b for b in boundaries if b.found is None]:
         intervals = list(dict.fromkeys(b.interval for b in opened))
         cells = keys.select(_cell(intervals, probes).alias("cell"), "size")
@@ -86,23 +95,29 @@ def splitters(
                 low, boundary.below = high, boundary.below + held
             under, over = boundary.wanted - boundary.below, boundary.below + held - boundary.wanted
             single = high - low == 1
-            if min(under, over) <= slack or (single and boundary.crc is not None):
+            if min(under, over) <= slack or (single and len(boundary.fixed) == len(KEYS) - 1):
                 boundary.found = boundary.key(low if under <= over else high)
             elif single:
-                boundary.crc, boundary.low, boundary.high = low, least, most + 1
+                boundary.fixed += (low,)
+                boundary.low, boundary.high = ranges[len(boundary.fixed)]
             else:
                 boundary.low, boundary.high = low, high
     return sorted(b.found for b in boundaries)
 
 
-def _shard_of(bounds: list[tuple[int, int]]) -> Column:
-    reached = [
-        f"CAST(crc > {crc} OR (crc = {crc} AND tie >= CAST('{tie}' AS BIGINT)) AS INT)"
-        if tie < 2**63
-        else f"CAST(crc > {crc} AS INT)"
-        for crc, tie in bounds
-    ]
-    return F.expr(" + ".join(reached) or "0")
+def _reached(bound: tuple[int, ...]) -> str:
+    """Whether a row's keys are at or beyond a bound."""
+    test = "TRUE"
+    for key, value in reversed(list(zip(KEYS, bound))):
+        if value >= 2**63:  # one more than any
+            test = "FALSE"
+        elif value > _LEAST or test != "TRUE":
+            test = f"({key} > {_long(value)} OR ({key} = {_long(value)} AND {test}))"
+    return test
+
+
+def _shard_of(bounds: list[tuple[int, ...]]) -> Column:
+    return F.expr(" + ".join(f"CAST({_reached(bound)} AS INT)" for bound in bounds) or "0")
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = TOLERANCE) -> DataFrame:
@@ -112,7 +127,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = TOLERAN
     plus 1), ``crc``, ``shard`` and ``slot``, counted from 0 without gaps in key
     order.  A shard's bytes differ from its share by at most ``tolerance`` of a
     share or by one row.  A null text counts as empty, a null ``doc_id`` as the
-    smallest; rows equal in both stay together.  An empty table gives no row.
+    smallest; rows equal in both are cut apart like any others.  An empty table
+    gives no row.
     """
     space = Workspace(docs.sparkSession)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
@@ -121,17 +137,19 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = TOLERAN
         (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"),
         F.coalesce(docs["doc_id"].cast("long"), F.lit(_LEAST)).alias("tie"),
+        F.monotonically_increasing_id().alias("number"),
     )
-    bounds = splitters(space.keep(tagged.select("crc", "tie", "size")), shards, tolerance=tolerance)
+    tagged = space.keep(tagged)  # the numbers stay as they are
+    bounds = splitters(tagged.select(*KEYS, "size"), shards, tolerance=tolerance)
     ordered = (
         tagged.withColumn("shard", _shard_of(bounds))
-        .repartitionByRange("shard", "crc", "tie")
-        .sortWithinPartitions("shard", "crc", "tie")
+        .repartitionByRange("shard", *KEYS)
+        .sortWithinPartitions("shard", *KEYS)
         .withColumn("at", F.monotonically_increasing_id())
     )
     placed = space.keep(ordered)
     part, place = F.shiftright("at", _ROW_BITS), F.col("at").bitwiseAND(2**_ROW_BITS - 1)
-    placed = placed.withColumns({"part": part, "place": place}).drop("at", "tie")
+    placed = placed.withColumns({"part": part, "place": place}).drop("at", "tie", "number")
     pieces = placed.groupBy("shard", "part").agg(
         F.count(F.lit(1)).alias("rows"), F.min("place").alias("first")
     )

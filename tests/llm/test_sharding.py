@@ -44,6 +44,14 @@ def test_a_group_of_equal_texts_is_cut_by_id(documents):
     _check(rows, 16, 2 * 5)
 
 
+def test_rows_equal_in_all_columns_are_cut_apart(documents):
+    """A third of all rows are one row without an id, another third one row with an id."""
+    rows = [(None, "no id", "en", "s")] * 300 + [(7, "one id", "en", "s")] * 300
+    rows = _rows(sharding.shard_by_bytes(documents(rows + [(i, str(i), "en", "s") for i in range(300)]), 16))
+    assert len(rows) == 900
+    _check(rows, 16, 2 * 7)
+
+
 def test_odd_rows(odd_documents):
     rows = _rows(sharding.shard_by_bytes(odd_documents, 4))
     assert len(rows) == odd_documents.count()
