@@ -29,7 +29,7 @@ _FIELDS = ("chunk", "bucket", "step", "a", "b", "c", "d")
 
 
 class Chunks:
-    """Documents dealt into chunks by a hash of ``doc_id``.
+    """Documents dealt into chunks by a hash of their place in the table, copies like any others.
 
     ``bits`` says how many leading bits of a key hash name its bucket; both
     numbers follow the bytes of all texts, so that neither a chunk nor a bucket
@@ -48,9 +48,7 @@ class Chunks:
         count = max(1, -(-total // chunk_bytes))
         self.bits = max(LEAST_BITS, (max(1, total) // bucket_bytes).bit_length())
         doc_id = docs["doc_id"].cast("long")
-        # Documents without an id are dealt by their texts.
-        spread = F.xxhash64(F.coalesce(doc_id, F.xxhash64(text)))
-        chunk = F.pmod(spread, F.lit(count)).alias("chunk")
+        chunk = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)).alias("chunk")
         carried = (F.lit(None).cast("string") if carry is None else carry).alias("carry")
         self.docs = docs.select(doc_id.alias("doc_id"), text.alias("text"), carried, chunk)
 

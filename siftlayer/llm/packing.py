@@ -254,7 +254,8 @@ def _packed(length: int):
 
 def _round(space: Workspace, pieces: DataFrame, count: int, length: int, group_pieces: int, number: int) -> DataFrame:
     groups = max(1, -(-count // group_pieces))
-    group = F.pmod(F.xxhash64(F.lit(number), "doc_id", "piece", "ids_crc32"), F.lit(groups))
+    # By place in the table, so that pieces equal in all columns are no group.
+    group = F.pmod(F.xxhash64(F.lit(number), F.monotonically_increasing_id()), F.lit(groups))
     grouped = pieces.withColumn("group", group).groupBy("group")
     placed = space.keep(grouped.applyInPandas(_packed(length), _PLACED))
     return placed.withColumn("bin", F.col("bin").bitwiseOR(F.lit(number << 56)))

@@ -1,0 +1,53 @@
+"""A third of all rows equal in all columns: no task's group may hold them together."""
+
+from pyspark.sql import functions as F
+
+from siftlayer.llm.maxent import score_texts
+from siftlayer.llm.packed import Chunks
+from siftlayer.llm.packing import pack
+from siftlayer.llm import packing
+from siftlayer.llm.suffixes import remove_repeats
+
+COPY = "the same words in every one of these rows, and there are more than fifty bytes of them"
+
+
+def _rows(copies):
+    rows = [(7, COPY, "en", "s")] * copies + [(None, COPY, "en", "s")] * copies
+    return rows + [(100 + i, f"{i} " * 20, "en", "s") for i in range(copies)]
+
+
+def test_chunks_share_out_copies(documents):
+    docs = documents(_rows(400)).repartition(4)
+    chunks = Chunks(docs, chunk_bytes=8000)
+    sizes = [r["n"] for r in chunks.docs.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 1200 and len(sizes) >= 8
+    assert max(sizes) < 2 * 1200 / len(sizes)
+
+
+def test_results_do_not_depend_on_the_chunks(documents, monkeypatch):
+    from siftlayer.llm import packed
+
+    docs = documents(_rows(60))
+    found = []
+    for size in (2000, 2**22):
+        monkeypatch.setattr(packed.Chunks.__init__, "__defaults__", (None, size, packed.BUCKET_BYTES))
+        cut = remove_repeats(docs).select("doc_id", "spans", "kept").collect()
+        scored = score_texts(docs).select("doc_id", "n_known", F.round("base_score", 6).alias("base")).collect()
+        found.append((sorted(map(str, cut)), sorted(map(str, scored))))
+    assert found[0] == found[1]
+    # Rows of one id keep their bytes among each other, and those without an id all of them.
+    assert all("spans=[]" in row for row in found[0][0])
+
+
+def test_pieces_equal_in_all_columns_are_packed_in_several_groups(spark, monkeypatch):
+    pieces = spark.range(3000, numPartitions=3).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        F.lit(100).cast("long").alias("length"), F.lit(5).cast("long").alias("ids_crc32"),
+    )
+    from siftlayer.llm.common import Workspace
+
+    placed = packing._round(Workspace(spark), pieces, 3000, 2048, 300, 0)
+    groups = placed.groupBy(F.shiftright("bin", 32).alias("group")).count().collect()
+    seen = [r["count"] for r in groups]
+    assert sum(seen) == 3000 and len(seen) == 10 and max(seen) < 2 * 300
+    assert len(pack([100] * 41, 2048)) == 3
