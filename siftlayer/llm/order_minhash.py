@@ -11,6 +11,8 @@ MinHash would not see.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,8 @@ from .packed import mixed
 K = 8
 BINS = 64
 TUPLE = 2
-GROUP_BYTES = 12 * 2**20
+RANGE_BYTES = 12 * 2**20
+MOST_RANGES = 2**16
 _U = np.uint64
 _FACTOR = _U(0x9FB21C651E98DF25)
 
@@ -101,29 +104,68 @@ def _hex(prints: np.ndarray) -> str:
     return prints.astype(">u4").tobytes().hex()
 
 
-def _compared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Documents of one range of ids in order; ``follows`` marks what comes after the range."""
-    rows = rows.sort_values(["follows", "doc_id", "text"], na_position="first")
-    ids, texts, follows = rows["doc_id"].astype("Int64").tolist(), rows["text"].tolist(), rows["follows"].tolist()
-    out, codes = [], None
-    for i, text in enumerate(texts):
-        if follows[i]:
-            break
-        if codes is None:
+class _Read(NamedTuple):
+    """A document and what is computed of its text once."""
+
+    part: int
+    doc_id: int | None
+    text: str
+    codes: np.ndarray
+    own: np.ndarray
+
+
+def _compared(document: _Read, after: _Read) -> tuple:
+    """The row of a document that ``after`` follows."""
+    half = len(document.codes) // 2
+    edited = document.text[: len(document.text) - half] + after.text[:half]
+    other = tuples(np.concatenate([document.codes[: len(document.codes) - half], after.codes[:half]]))
+    return (
+        document.doc_id,
+        len(document.text),
+        hashlib.sha256(edited.encode()).hexdigest(),
+        _hex(document.own),
+        _hex(other),
+        likeness(document.own, other),
+        likeness(document.own, after.own),
+    )
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=_COLUMNS).astype({"doc_id": "Int64"})
+
+
+def _in_order(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole ranges one after another, each in order and ended by what follows it.
+
+    One document at a time waits for the next, also from one batch to another.
+    """
+    last = None
+    for frame in frames:
+        out = []
+        for part, doc_id, text, follows in zip(*(frame[c].tolist() for c in ("part", "doc_id", "text", "follows"))):
+            if follows and last is None:
+                continue  # a further row of the id that follows
+            codes = _codes(text)
+            now = _Read(part, doc_id, text, codes, tuples(codes))
+            if last is not None:
+                if last.part != part:
+                    raise RuntimeError(f"nothing follows document {last.doc_id}: the table changed while it was read")
+                out.append(_compared(last, now))
+            last = None if follows else now
+        yield _frame(out)
+    if last is not None:
+        raise RuntimeError(f"nothing follows document {last.doc_id}: the table changed while it was read")
+
+
+def _alone(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents without an id, each next to itself."""
+    for frame in frames:
+        out = []
+        for text in frame["text"].tolist():
             codes = _codes(text)
-            own = tuples(codes)
-        # A document without an id is next to itself.
-        after = text if ids[i] is pd.NA else texts[i + 1]
-        after_codes = _codes(after)
-        after_own = tuples(after_codes)
-        half = len(codes) // 2
-        edited = text[: len(text) - half] + after[:half]
-        other = tuples(np.concatenate([codes[: len(codes) - half], after_codes[:half]]))
-        near = likeness(own, other), likeness(own, after_own)
-        digest = hashlib.sha256(edited.encode()).hexdigest()
-        out.append((ids[i], len(text), digest, _hex(own), _hex(other), *near))
-        codes, own = (None, None) if ids[i] is pd.NA else (after_codes, after_own)
-    return pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64"})
+            own = _Read(0, None, text, codes, tuples(codes))
+            out.append(_compared(own, own))
+        yield _frame(out)
 
 
 def _range_starts(ids: DataFrame, count: int) -> list[int]:
@@ -145,7 +187,7 @@ def _dealt(starts: list[int]):
     return ranges
 
 
-def order_fingerprints(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def order_fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and likenesses to it and to the next document.
 
     The next document is the one with the next higher ``doc_id``, for the last
@@ -153,18 +195,21 @@ def order_fingerprints(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataF
     without an id is next to itself.  A null text counts as empty; two empty
     texts are alike by 1, an empty and another by 0.  Equal texts have equal
     fingerprints.  An empty table gives no row; further columns are not read.
+
+    Ranges of ids hold about ``range_bytes`` of text, or more where that makes
+    over ``MOST_RANGES``, as one id for each reaches the driver.  A task sorts its
+    range, spilling where it must, and reads it batch by batch; the first row of a
+    range also goes to the end of the one before.  Rows without an id stay where
+    they are.
     """
     plain = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
     )
     named = plain.where("doc_id IS NOT NULL")
-    total = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    count = max(1, -(-total // group_bytes))
-    # One id for each range: the driver sees no more.
+    total = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    count = min(MOST_RANGES, max(1, -(-total // range_bytes)))
     starts = _range_starts(named.select("doc_id"), count)
     dealt = named.select("doc_id", "text", F.posexplode(_dealt(starts)("doc_id")).alias("follows", "part"))
-    unnamed = plain.where("doc_id IS NULL").select(
-        "doc_id", "text", F.lit(0).alias("follows"), F.pmod(F.xxhash64("text"), F.lit(count)).cast("int").alias("part")
-    )
-    both = dealt.withColumn("named", F.lit(True)).unionByName(unnamed.withColumn("named", F.lit(False)))
-    return both.groupBy("named", "part").applyInPandas(_compared, _SCHEMA)
+    ranges = dealt.repartitionById(max(1, len(starts)), "part").sortWithinPartitions("part", "follows", "doc_id", "text")
+    unnamed = plain.where("doc_id IS NULL").select("text")
+    return ranges.mapInPandas(_in_order, _SCHEMA).unionByName(unnamed.mapInPandas(_alone, _SCHEMA))

@@ -80,3 +80,42 @@ def test_odd_rows(odd_documents, documents):
     assert order_fingerprints(odd_documents.limit(0)).count() == 0
     (alone,) = order_fingerprints(documents(["just one"])).collect()
     assert alone["near_next"] == 1.0
+
+
+def test_all_columns_against_texts_taken_one_by_one(documents):
+    words = "one two three four five six seven eight nine ten".split()
+    texts = [" ".join(words[(i * j) % 10] for j in range(1, 3 + i * 37 % 300)) for i in range(90)]
+    texts[5] = texts[6] = ""
+    df = documents([(i * i, t, "en", "s") for i, t in enumerate(texts)])
+    for size in (500, 10**9):
+        found = {r["doc_id"]: r for r in order_fingerprints(df.repartition(5), size).collect()}
+        assert len(found) == len(texts)
+        for i, text in enumerate(texts):
+            after = texts[(i + 1) % len(texts)]
+            edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+            own, other, next_ = (tuples(_codes(t)) for t in (text, edited, after))
+            row = found[i * i]
+            assert row["fingerprint"] == own.astype(">u4").tobytes().hex()
+            assert row["edited_fingerprint"] == other.astype(">u4").tobytes().hex()
+            assert (row["near_edited"], row["near_next"]) == (likeness(own, other), likeness(own, next_))
+
+
+def test_ranges_wait_from_batch_to_batch(spark, documents):
+    df = documents([(1 + i // 3, f"text {i} " * 5, "en", "s") for i in range(120)])
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        for size in (200, 10**9):
+            _check(df, size)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def test_few_ids_reach_the_driver(documents, monkeypatch):
+    from siftlayer.llm import order_minhash as o
+
+    seen, starts = [], o._range_starts
+    monkeypatch.setattr(o, "MOST_RANGES", 4)
+    monkeypatch.setattr(o, "_range_starts", lambda ids, count: seen.append(starts(ids, count)) or seen[-1])
+    _check(documents([f"text {i} " * 9 for i in range(60)]), 100)
+    assert [len(x) for x in seen] == [4]
