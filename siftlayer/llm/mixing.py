@@ -1,13 +1,15 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source's rate is its target over its size in words.  Every document takes the
-whole part of the rate as certain copies; the rest is its inclusion probability
-for one copy more.  Documents are ranked by their random odds over their
-inclusion odds, and a source takes them in that order up to the words it still
-needs: the fixed size of the sample.  The rank at which it stops is found from
-counts of words in ever smaller cells of the rank, never by sorting a source.
-What is then left, less than the next document, goes in the same order to those
-after it that fit.
+How many copies of a document are expected depends on its length: a source
+scales the worth of its documents, which rises with the bits of their size, until
+the expected words make its target, no document beyond the most copies.  A
+document takes the whole part of that number as certain copies; the rest is its
+inclusion probability for one copy more.  Documents are ranked by their random
+odds over their inclusion odds, and a source takes them in that order up to the
+words it still needs: the fixed size of the sample.  The rank at which it stops
+is found from counts of words in ever smaller cells of the rank, never by
+sorting a source.  What is then left, less than the next document, goes in the
+same order to those after it that fit.
 """
 
 from __future__ import annotations
@@ -26,12 +28,16 @@ MOST = 2
 CELL_BITS = 8
 ROUNDS = 5
 SEED = 7
+# Each further bit of a size adds this share of the worth of one word.
+RISE = Fraction(1, 8)
 
-_TARGETS = T.StructType(
+_CLASSES = T.StructType(
     [
-        T.StructField("source", T.StringType()),
+        T.StructField("of", T.StringType()),
+        T.StructField("class_of", T.IntegerType()),
         T.StructField("source_size", T.LongType()),
         T.StructField("target", T.DoubleType()),
+        T.StructField("need", T.DoubleType()),
         T.StructField("whole", T.IntegerType()),
         T.StructField("chance", T.DoubleType()),
     ]
@@ -62,14 +68,43 @@ def targets(
     return out
 
 
-def _target_table(spark: SparkSession, sized: DataFrame, weights, budget, most) -> DataFrame:
-    """A row for each source; the driver sees one sum a source, no documents."""
-    sizes = dict(sized.groupBy("source").agg(F.sum("size")).collect())
+def expected_copies(
+    words: dict[int, int], target: Fraction, most: int = MOST, rise: Fraction = RISE
+) -> dict[int, Fraction]:
+    """Copies expected of the documents of each length class, from the words of the classes.
+
+    They are in proportion to the worth ``1 + rise * class`` up to ``most``, and
+    words times copies add up to ``target``, which is at most ``most`` times all words.
+    """
+    worth = {bits: 1 + rise * bits for bits, size in words.items() if size}
+    left, open_ = Fraction(target), sorted(worth, key=worth.get, reverse=True)
+    out = {bits: Fraction(0) for bits in words}
+    while open_:
+        scale = left / sum(worth[bits] * words[bits] for bits in open_)
+        full = [bits for bits in open_ if scale * worth[bits] >= most]
+        if not full:
+            return out | {bits: scale * worth[bits] for bits in open_}
+        for bits in full:
+            out[bits] = Fraction(most)
+            left -= most * words[bits]
+        open_ = [bits for bits in open_ if bits not in full]
+    return out
+
+
+def _class_table(spark: SparkSession, sized: DataFrame, weights, budget, most, rise) -> DataFrame:
+    """A row for each source and length class; the driver sees one sum for each, at most 64 a source."""
+    words: dict[str | None, dict[int, int]] = {}
+    for name, bits, size in sized.groupBy("source", "class").agg(F.sum("size")).collect():
+        words.setdefault(name, {})[bits] = size
+    sizes = {name: sum(own.values()) for name, own in words.items()}
     rows = []
     for name, target in targets(sizes, weights, budget, most).items():
-        rate = target / sizes[name] if sizes[name] else Fraction(0)
-        rows.append((name, sizes[name], float(target), int(rate), float(rate - int(rate))))
-    return spark.createDataFrame(rows, _TARGETS)
+        copies = expected_copies(words[name], target, most, rise)
+        need = target - sum(int(number) * words[name][bits] for bits, number in copies.items())
+        for bits, number in copies.items():
+            whole = int(number)
+            rows.append((name, bits, sizes[name], float(target), float(need), whole, float(number - whole)))
+    return spark.createDataFrame(rows, _CLASSES)
 
 
 def _rank(key: Column, chance: Column) -> Column:
@@ -114,46 +149,61 @@ def _cuts(space: Workspace, ranked: DataFrame, needs: DataFrame, nearest: bool)
 
 
 def mix_sources(
-    docs: DataFrame, weights=WEIGHTS, budget: Fraction = BUDGET, most: int = MOST, seed: int = SEED
+    docs: DataFrame,
+    weights=WEIGHTS,
+    budget: Fraction = BUDGET,
+    most: int = MOST,
+    seed: int = SEED,
+    rise: Fraction = RISE,
 ) -> DataFrame:
     """Every row of ``docs`` with the copies that the mix takes of it.
 
     Returns ``row`` (all input columns), ``size`` (words), ``source_size``,
-    ``target`` and ``copies``, at most ``most``.  A null or empty text has size 0
-    and no copies; a null source is a source of its own; rows equal in
-    ``doc_id``, size and source are taken or left together; an empty table gives
-    no row.  Reruns agree: the random numbers come from ``doc_id`` and ``seed``.
+    ``target``, ``expected`` (the copies expected of its length class) and
+    ``copies``, at most ``most``.  With ``rise`` 0 all documents of a source are
+    worth the same.  A null or empty text has size 0 and no copies; a null
+    source is a source of its own; rows equal in ``doc_id``, text and source are
+    taken or left together; an empty table gives no row.  Reruns agree: the
+    random numbers come from ``doc_id``, text and ``seed``.
     """
     spark = docs.sparkSession
     space = Workspace(spark)
+    size = F.coalesce(F.regexp_count(docs["text"].cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(
         whole_row(docs),
         docs["source"].cast("string").alias("source"),
-        F.coalesce(F.regexp_count(docs["text"].cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        docs["doc_id"].cast("long").alias("id"),
-    ).withColumn("key", unit_hash("id", "size", seed=seed))
-    keys = space.keep(sized.select("source", "size", "key"))
-    table = space.keep(_target_table(spark, keys, weights, budget, most).withColumnRenamed("source", "of"))
-    ranked = keys.join(table.select("of", "chance"), keys["source"].eqNullSafe(F.col("of")))
+        size.alias("size"),
+        unit_hash(docs["doc_id"].cast("long"), docs["text"].cast("string"), seed=seed).alias("key"),
+    ).withColumn("class", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0).cast("int"))
+    keys = space.keep(sized.select("source", "class", "size", "key"))
+    table = space.keep(_class_table(spark, keys, weights, budget, most, rise))
+    own = F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("class_of"))
+    ranked = keys.join(table.select("of", "class_of", "chance"), own)
     ranked = space.keep(ranked.select("source", "size", _rank(F.col("key"), F.col("chance")).alias("rank")))
-    need = (F.col("target") - F.col("whole") * F.col("source_size")).alias("need")
-    first = _cuts(space, ranked, table.select("of", need), nearest=False)
+    first = _cuts(space, ranked, table.select("of", "need").distinct(), nearest=False)
     # Of the documents after the cut, those that fit into the words left fill them up.
     fitting = ranked.join(first, ranked["source"].eqNullSafe(F.col("of")))
     fitting = fitting.where("rank >= cut AND size > 0 AND size <= left").select("source", "size", "rank")
     second = _cuts(space, fitting, first.select("of", F.col("left").alias("need")), nearest=True)
     cuts = first.select(F.col("of").alias("cut_of"), "cut", "left")
     fills = second.select(F.col("of").alias("fill_of"), F.col("cut").alias("fill"))
-    per_source = space.keep(
+    per_class = space.keep(
         table.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left")
         .join(fills, F.col("of").eqNullSafe(F.col("fill_of")), "left")
-        .select("of", "source_size", "target", "whole", "chance", "cut", "left", "fill")
+        .select("of", "class_of", "source_size", "target", "whole", "chance", "cut", "left", "fill")
     )
-    joined = sized.join(per_source, sized["source"].eqNullSafe(per_source["of"]))
+    joined = sized.join(per_class, own)
     rank = _rank(F.col("key"), F.col("chance"))
     further = (rank < F.col("cut")) | ((F.col("size") <= F.col("left")) & (rank < F.col("fill")))
     copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(further, F.lit(False)).cast("int"))
-    return joined.select("row", "size", "source_size", "target", F.coalesce(copies, F.lit(0)).alias("copies"))
+    return joined.select(
+        "row",
+        "size",
+        "source_size",
+        "target",
+        (F.col("whole") + F.col("chance")).alias("expected"),
+        F.coalesce(copies, F.lit(0)).alias("copies"),
+    )
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
