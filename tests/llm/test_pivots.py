@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from siftlayer.llm.pivots import exact_top_k, search_block
+from siftlayer.llm.pivots import _distances, exact_top_k, search_block
 
 
 def brute(vectors, queries, k):
@@ -58,8 +58,55 @@ def test_bounds_leave_candidates_out_and_none_that_counts(scale):
     centers = rng.integers(-500, 500, (16, 6)) * 20
     rows = (centers[rng.integers(0, 16, 4000)] + rng.integers(-30, 30, (4000, 6))) * min(scale, 2**12)
     ids = rng.permutation(4000)
-    best, evaluated = search_block(ids[:10], rows[:10], ids, rows, centers * min(scale, 2**12), 5)
+    distances = _distances(rows, centers * min(scale, 2**12))
+    best, evaluated = search_block((ids[:10], rows[:10], distances[:10]), (ids, rows, distances), 5)
     for i in range(10):
         order = sorted((-int(s), int(j)) for s, j in zip(rows @ rows[i], ids) if j != ids[i])[:5]
         assert [(-s, j) for s, j in zip(best.score[i].tolist(), best.id[i].tolist())] == [(s, j) for s, j in order]
     assert evaluated < 10 * 4000 * 0.8
+
+
+def test_blocks_out_of_reach_are_not_sent(spark, monkeypatch):
+    """Far clusters: most pairs of blocks and groups never meet, and nothing of the result is lost."""
+    from siftlayer.llm import pivots
+
+    monkeypatch.setattr(pivots, "CANDIDATE_BLOCK", 100)
+    monkeypatch.setattr(pivots, "QUERY_BLOCK", 10)
+    kept, cells = [], pivots._cells
+
+    def counted(blocks, groups, count):
+        out = cells(blocks, groups, count)
+        kept.append((out.count(), blocks.count() * groups.count()))
+        return out
+
+    monkeypatch.setattr(pivots, "_cells", counted)
+    rng = np.random.default_rng(9)
+    centers = rng.normal(0, 1, (12, 16))
+    centers /= np.linalg.norm(centers, axis=1)[:, None]
+    rows = [(i, (centers[i % 12] + rng.normal(0, 0.01, 16)).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = _whole(rows)
+    assert {tuple(r) for r in exact_top_k(df).collect()} == brute(whole, [x for x in whole if x[0] % 50 == 0], 5)
+    met, all_pairs = kept[0]
+    assert met < all_pairs / 2
+
+
+def test_one_vector_as_a_third_of_all_rows(spark, monkeypatch):
+    """Rows of one id and one vector are dealt over several blocks."""
+    from siftlayer.llm import pivots
+
+    monkeypatch.setattr(pivots, "CANDIDATE_BLOCK", 50)
+    sizes, ranges = [], pivots._ranges
+
+    def counted(frame, name, *further):
+        if name == "block":
+            sizes.extend(r["count"] for r in frame.groupBy("dim", "block").count().collect())
+        return ranges(frame, name, *further)
+
+    monkeypatch.setattr(pivots, "_ranges", counted)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(0, 1, 4).tolist()) for i in range(800)] + [(7, [1.0] * 4)] * 400
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = _whole(rows)
+    assert {tuple(r) for r in exact_top_k(df).collect()} == brute(whole, [x for x in whole if x[0] % 50 == 0], 5)
+    assert sum(sizes) == 1200 and max(sizes) <= 100
