@@ -8,11 +8,11 @@ evaluated in the order of their bounds until the next bound lies under the k-th
 best product found; no candidate left out can belong to the result.
 
 The table is computed once and written.  Rows are dealt to blocks by their nearest
-pivot and by rings of distance to it, queries to groups by their nearest pivot.  A
-group first meets the block of its own ring, which gives each of its queries a k-th
-best product to beat.  The ranges of distances in a block then bound the products of
-all its rows at once: only the blocks that can beat some query of a group are sent to
-it, and each pair of block and group gives at most k rows a query.
+pivot and by rings of distance to it.  A query first meets one block of its own ring,
+which gives it a k-th best product to reach.  Queries then form groups, as few as their
+number allows, by their nearest pivot.  The ranges of distances in a block bound the
+products of all its rows at once: only the blocks that can reach what some query of a
+group has are sent to it, and each pair of block and group gives at most k rows a query.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ PIVOTS = 32
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
 RINGS = 16
-STEP = 256
+STEP = 1024
 SEED = 5
 _SAFE = 2.0**53
 
@@ -74,7 +74,8 @@ class _Best:
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
     def take(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        scores, ids = np.append(self.score[query], scores), np.append(self.id[query], ids)
+        some = scores >= self.score[query, -1]
+        scores, ids = np.append(self.score[query], scores[some]), np.append(self.id[query], ids[some])
         order = np.lexsort((ids, ~scores))[: self.k]
         self.score[query], self.id[query] = scores[order], ids[order]
 
@@ -192,7 +193,15 @@ def _dealt(frame: DataFrame, most: int, name: str) -> tuple[DataFrame, DataFrame
     parts = frame.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).alias("parts"))
     part = F.pmod(F.xxhash64("number", F.lit(SEED)), F.col("parts"))
     dealt = frame.join(parts, keys).withColumn(name, F.struct("near", "ring", part.alias("part")))
-    return dealt.drop("parts", "near", "ring"), parts
+    return dealt.drop("parts"), parts
+
+
+def _grouped(asks: DataFrame) -> DataFrame:
+    """Queries in groups by the nearest of as many pivots as their number needs."""
+    classes = max(1, -(-asks.count() // QUERY_BLOCK))
+    some = F.slice("distances", 1, classes)
+    near = F.coalesce(F.array_position(some, F.array_min(some)), F.lit(0)).cast("long")
+    return _dealt(asks.withColumn("near", near).withColumn("ring", F.lit(0)), QUERY_BLOCK, "asked")[0]
 
 
 def _ranges(frame: DataFrame, name: str, pivots: int, *further: Column) -> DataFrame:
@@ -255,24 +264,20 @@ def exact_top_k(
         schema = "asker long, query_id long, vec_id long, score long"
         return left.cogroup(right).applyInPandas(_searched(k), schema)
 
-    # A group first meets one block of its own ring.
-    home = asks.select("dim", "asked").distinct()
-    home = home.select("*", F.col("asked.near").alias("near"), F.col("asked.ring").alias("ring")).join(
-        parts, ["dim", "near", "ring"]
-    )
-    part = F.pmod("asked.part", "parts").alias("part")
-    home = space.keep(home.select("dim", F.struct("near", "ring", part).alias("block"), "asked"))
-    first = space.keep(met(home, asks.withColumn("least", F.lit(None).cast("long"))))
+    # One block of a query's own ring gives it a score to reach, and nothing else.
+    home = asks.select("dim", "near", "ring", "asked").distinct().join(parts, ["dim", "near", "ring"])
+    block = F.struct("near", "ring", F.pmod("asked.part", "parts").alias("part")).alias("block")
+    home = space.keep(home.select("dim", block, "asked"))
+    first = met(home, asks.withColumn("least", F.lit(None).cast("long")))
     reached = first.groupBy(F.col("asker").alias("number")).agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("least")
     )
-    asks = space.keep(asks.join(reached, ["number"], "left"))
+    asks = space.keep(_grouped(asks.join(space.keep(reached), ["number"], "left")))
     # Where a query has fewer than k products yet, its group needs every block.
     need = F.when(F.count("least") == F.count(F.lit(1)), F.max(F.col("size") - 2.0 * F.col("least"))).alias("need")
     blocks = space.keep(_ranges(rows, "block", pivots))
-    cells = _cells(blocks, _ranges(asks, "asked", pivots, need), pivots)
-    rest = space.keep(cells.join(home, ["dim", "block", "asked"], "left_anti"))
-    found = first.unionByName(met(rest, asks))
+    cells = space.keep(_cells(blocks, _ranges(asks, "asked", pivots, need), pivots))
+    found = met(cells, asks)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
