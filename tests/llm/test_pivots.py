@@ -110,3 +110,22 @@ def test_one_vector_as_a_third_of_all_rows(spark, monkeypatch):
     whole = _whole(rows)
     assert {tuple(r) for r in exact_top_k(df).collect()} == brute(whole, [x for x in whole if x[0] % 50 == 0], 5)
     assert sum(sizes) == 1200 and max(sizes) <= 100
+
+
+def test_given_queries_of_other_places_and_lengths(spark, monkeypatch):
+    """A query may lie in a ring without rows, have a length no row has, or there may be none."""
+    from siftlayer.llm import pivots
+
+    monkeypatch.setattr(pivots, "CANDIDATE_BLOCK", 20)
+    monkeypatch.setattr(pivots, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, 3).tolist()) for i in range(200)]
+    asked = [(1000 + i, (rng.normal(0, 1, 3) * 10.0**i).tolist()) for i in range(-3, 6)] + [(2000, [0.0] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = spark.createDataFrame([*asked, (3000, [1.0])], df.schema)
+    found = {tuple(r) for r in exact_top_k(df, queries).collect()}
+    assert found == brute(_whole(rows), _whole(asked), 5)
+    # More are asked for than there are.
+    few = {tuple(r) for r in exact_top_k(df.limit(3), queries).collect()}
+    assert few == brute(_whole([tuple(r) for r in df.limit(3).collect()]), _whole(asked), 5)
+    assert exact_top_k(df, queries.limit(0)).count() == 0
