@@ -4,12 +4,14 @@ import contextlib
 import io
 import math
 import random
+import re
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from siftlayer.operators import mean, ratio_of_totals, row_count, summarise, total
+from workload import queries
 
 
 def _one(spark, rows, *measures):
@@ -134,3 +136,14 @@ def test_int_count_never_wraps(spark, ansi, flag, monkeypatch):
     assert _one(spark, [(1.0, 1.0)] * 2, lambda v, d: row_count("n", "bigint")) == (2,)
     with pytest.raises(ValueError):
         row_count("n", "short")
+
+
+def test_rows_dealt_anew_take_more_tasks_where_the_table_is_larger(spark, tmp_path, monkeypatch):
+    lines = "1 AS l_suppkey, now() AS l_shipdate, 1D AS l_extendedprice, 0D AS l_discount, 2D AS l_quantity"
+    spark.sql(f"SELECT {lines}").write.parquet(f"{tmp_path}/lineitem.parquet")
+    widths = []
+    for size in (10, 2**33):
+        monkeypatch.setattr(queries, "scanned_bytes", lambda df, size=size: size)
+        plan = queries.gold_metrics_default(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        widths.append(int(re.search(r"RepartitionByExpression \[.*\], (\d+)", plan)[1]))
+    assert widths == [13, 1024]
