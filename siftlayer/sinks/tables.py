@@ -31,13 +31,15 @@ from siftlayer.sources.tables import (
     table_properties,
     view_of,
 )
-from siftlayer.tuning import Width, file_size, tuned_for
+from siftlayer.tuning import Width, file_size, open_files, tuned_for
 
 log = logging.getLogger(__name__)
 
 # Below a table's folder; readers of the folder itself skip names like this.
 _VERSIONS = "/_versions/"
 _SPREAD = "_spread_of_row"
+# A rebalanced task holds few partitions; rows of any beyond these are sorted first.
+_OPEN_FILES = 32
 
 
 def _default_location(spark: SparkSession, name: str) -> str:
@@ -129,13 +131,15 @@ def append_partitioned(
     existing files are never removed.  The write needs no shuffle; each task
     writes one file per partition it holds.  ``rebalance`` adds one shuffle for
     fewer and larger files: it gathers the rows of a partition and lets AQE split
-    partitions beyond ``file_bytes`` of shuffled rows.  ``written_bytes`` deals rows
+    partitions beyond ``file_bytes`` of shuffled rows.  Its tasks write the few
+    partitions they hold side by side and sort nothing.  ``written_bytes`` deals rows
     to files of that size on disk instead (see :mod:`siftlayer.sinks.sizing`), for
     which the rows are counted first.  ``mode="overwrite"`` replaces all contents, as
     :func:`replace_table` does.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
+    together = _OPEN_FILES if rebalance and written_bytes is None else None
 
     def arranged(rows: DataFrame) -> DataFrame:
         if written_bytes is not None:
@@ -147,7 +151,7 @@ def append_partitioned(
 
     if mode == "overwrite":
         rows = arranged(df)
-        with file_size(spark, file_bytes):
+        with file_size(spark, file_bytes), open_files(spark, together):
             replace_table(rows, name, location, partition_by)
         return
     if mode != "append":
@@ -162,7 +166,7 @@ def append_partitioned(
         grown = target != name and len(rows.columns) > len(spark.table(name).columns)
     rows = arranged(rows)
     writer = rows.write.format("parquet").mode("append").partitionBy(*partition_by)
-    with file_size(spark, file_bytes):
+    with file_size(spark, file_bytes), open_files(spark, together):
         (writer if exists else writer.option("path", folder)).saveAsTable(target)
     if exists and grown:
         spark.sql(f"ALTER VIEW {name} AS {view_of(target)}")

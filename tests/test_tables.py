@@ -4,6 +4,7 @@ import threading
 import uuid
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from siftlayer import tuning
@@ -627,3 +628,20 @@ def test_an_append_rewrites_the_partitions_it_touches(spark, name, tmp_path):
     with pytest.raises(ValueError, match="no partitions"):
         replace_table(spark.range(3), f"{name}_plain", location + "_plain")
         recluster_partitions(spark, f"{name}_plain", ["id"])
+
+
+def test_a_rebalanced_write_sorts_no_rows(spark, name, tmp_path, monkeypatch):
+    seen, save = [], DataFrameWriter.saveAsTable
+
+    def saved(writer, *args):
+        seen.append(spark.conf.get(tuning.OPEN_FILES))
+        save(writer, *args)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", saved)
+    before = spark.conf.get(tuning.OPEN_FILES)
+    df = spark.range(1000).selectExpr("id", "id % 100 AS p")
+    for rebalance in (True, None):
+        append_partitioned(df, name, ["p"], str(tmp_path / "t"), rebalance)
+    assert int(seen[0]) > 0 and seen[1] == before == spark.conf.get(tuning.OPEN_FILES)
+    # More partitions than are written side by side.
+    assert df.unionAll(df).exceptAll(spark.table(name)).isEmpty() and spark.table(name).count() == 2000
