@@ -10,7 +10,7 @@ from operator import and_
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,10 @@ _VERSIONS = "/_versions/"
 _SPREAD = "_spread_of_row"
 # A rebalanced task holds few partitions; rows of any beyond these are sorted first.
 _OPEN_FILES = 32
+# Types that no hash aggregate keeps the least of.
+_UNSIZED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+# Ranges of up to so many files are sent to every task.
+_FEW_FILES = 100_000
 
 
 def _default_location(spark: SparkSession, name: str) -> str:
@@ -316,6 +320,45 @@ def recluster_table(
         return replace_table(placed, name, location)
 
 
+def _file_ranges(table: DataFrame, parts: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The least and the greatest row of each file by ``columns``, nulls first.
+
+    A least row as such would be found by sorting all rows of a task.  Column by
+    column it is a hash aggregate: the least of the first, then that of the next among
+    the rows that have it, and so on.  Text has no such aggregate.
+    """
+    place = table.metadataColumn("_metadata")["file_path"].alias("_file")
+    if any(isinstance(table.schema[c].dataType, _UNSIZED) for c in columns):
+        row = F.struct(*columns)
+        return table.groupBy(*parts, place).agg(F.min(row).alias("_least"), F.max(row).alias("_most"))
+    rows = table.select(*parts, place, *(F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)))
+    few = len(table.inputFiles()) <= _FEW_FILES
+    ends = rows.groupBy(*parts, "_file").agg(*_ends(0, F.lit(True), F.lit(True)))
+    for i in range(1, len(columns)):
+        known = F.broadcast(ends.drop(*parts)) if few else ends.drop(*parts)
+        least = [F.when(~F.col(f"_blank{j}"), F.col(f"_low{j}")) for j in range(i)]
+        low = reduce(and_, (F.col(f"_c{j}").eqNullSafe(end) for j, end in enumerate(least)))
+        high = reduce(and_, (F.col(f"_c{j}").eqNullSafe(F.col(f"_high{j}")) for j in range(i)))
+        found = rows.join(known, "_file").groupBy(*parts, "_file").agg(*_ends(i, low, high))
+        ends = found.join(known, "_file")
+    numbers = range(len(columns))
+    return ends.select(
+        *parts,
+        F.struct(*(F.when(~F.col(f"_blank{i}"), F.col(f"_low{i}")).alias(f"_c{i}") for i in numbers)).alias("_least"),
+        F.struct(*(F.col(f"_high{i}").alias(f"_c{i}") for i in numbers)).alias("_most"),
+    )
+
+
+def _ends(i: int, low: Column, high: Column) -> list[Column]:
+    """The ends of column ``i`` among the rows that begin like the least and the greatest row."""
+    value = F.col(f"_c{i}")
+    return [
+        F.max(low & value.isNull()).alias(f"_blank{i}"),
+        F.min(F.when(low, value)).alias(f"_low{i}"),
+        F.max(F.when(high, value)).alias(f"_high{i}"),
+    ]
+
+
 def _overlapping(table: DataFrame, parts: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The partitions in which the range of some file reaches into that of another.
 
@@ -323,10 +366,7 @@ def _overlapping(table: DataFrame, parts: Sequence[str], columns: Sequence[str])
     overlaps when one before it goes beyond its least row.  Files that share a
     bound do not overlap.
     """
-    place, row = table.metadataColumn("_metadata"), F.struct(*columns)
-    ranges = table.groupBy(*parts, place["file_path"].alias("_file")).agg(
-        F.min(row).alias("_least"), F.max(row).alias("_most")
-    )
+    ranges = _file_ranges(table, parts, columns)
     before = Window.partitionBy(*parts).orderBy("_least", "_most").rowsBetween(Window.unboundedPreceding, -1)
     swept = ranges.withColumn("_reached", F.max("_most").over(before))
     return swept.where(F.col("_reached") > F.col("_least")).select(*parts).distinct()

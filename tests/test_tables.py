@@ -12,7 +12,7 @@ from siftlayer.operators.layout import file_position, order_by_range, quantile_b
 from siftlayer.plans import jobs, trips
 from siftlayer.plans.jobs import Stage
 from siftlayer.plans.schemas import BRONZE, GOLD, SILVER, TRIP_FILE
-from siftlayer.sinks import append_partitioned, recluster_partitions, recluster_table, replace_table
+from siftlayer.sinks import append_partitioned, recluster_partitions, recluster_table, replace_table, tables
 from siftlayer.sources import TextSource, locate, read_snapshot
 from siftlayer.sources.tables import current_version, partition_columns, table_details
 from siftlayer.workspace import shared_folder
@@ -645,3 +645,23 @@ def test_a_rebalanced_write_sorts_no_rows(spark, name, tmp_path, monkeypatch):
     assert int(seen[0]) > 0 and seen[1] == before == spark.conf.get(tuning.OPEN_FILES)
     # More partitions than are written side by side.
     assert df.unionAll(df).exceptAll(spark.table(name)).isEmpty() and spark.table(name).count() == 2000
+
+
+def test_ranges_of_files_take_no_sort(spark, name, tmp_path):
+    rows = [(p, a, b, None if i % 5 else float("nan")) for i, (p, a, b) in enumerate(
+        (p, a, b) for p in (1, 2, None) for a in (None, 3, 3, 7) for b in (None, 1, 2, 2)
+    )]
+    rows += [(4, None, None, None), (5, 1, 1, 1.0)]
+    df = spark.createDataFrame(rows, "p int, a int, b long, c double").repartition(3)
+    append_partitioned(df, name, ["p"], str(tmp_path / "t"))
+    table = spark.table(name)
+    for columns in (["a"], ["a", "b"], ["b", "c", "a"]):
+        found = tables._file_ranges(table, ["p"], columns)
+        row = F.struct(*columns)
+        wanted = table.groupBy("p", "_metadata.file_path").agg(F.min(row), F.max(row))
+
+        def plain(df, at):
+            return sorted(repr((r["p"], *map(tuple, r[at:]))) for r in df.collect())
+
+        assert plain(found, 1) == plain(wanted, 2)
+        assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
