@@ -132,7 +132,8 @@ def restore(outputs: pa.Array, form: np.ndarray) -> pa.Array:
     changed = np.flatnonzero(form != PLAIN)
     marks = _marks(data)
     owner = np.searchsorted(places, marks, side="right") - 1
-    marks = marks[form[owner] != PLAIN]
+    # The end of one output and the beginning of the next can look like a marker.
+    marks = marks[(form[owner] != PLAIN) & (marks + _MARK <= end[owner])]
     marks = marks.reshape(len(changed), 3)
     bounds = np.stack([marks[:, 1] - marks[:, 0], marks[:, 2] - marks[:, 1], end[changed] - marks[:, 2]], axis=1)
     spm = (form[changed] == SPM)[:, None]

@@ -76,3 +76,9 @@ def test_share_and_seed_are_parameters(spark, documents):
     assert set(forms) == {"plain", "spm"} and 60 < forms["spm"] < 140
     one, two = (fill_in_middle(docs, seed=s).agg(F.sum("prefix_chars")).first()[0] for s in ("1", "2"))
     assert one != two
+
+
+def test_a_marker_across_two_outputs_is_none():
+    made = arrange(pa.array(["<<M", ">"]), np.array([3, 1]), np.array([0, 0]), np.array([3, 0]), np.array(["psm", "plain"]))
+    assert made.to_pylist() == ["<P><S><M><<M", ">"]
+    assert middles.restore(made, np.array(["psm", "plain"])).to_pylist() == ["<<M", ">"]
