@@ -3,9 +3,11 @@
 A word's probability given those before it is that of its class times that of
 the word within the class.  The most frequent words have classes of their own,
 ``SLOTS`` to a class, and a softmax within each; every other word falls into one
-of sixteen classes by its spelling, within which counts decide.  The features
-are the word before, the two before (hashed), and two skips: the second and the
-third word before.  Weights add to the logarithms of the plain frequencies, so
+of sixteen classes by its spelling, and by its hash into one of ``SLOTS`` bins of it,
+again with a softmax; within a bin exact counts decide.  The features are the word
+before, the two before (hashed), two skips: the second and the third word before,
+and for the class also the word before as it is, frequent or not, hashed into rows
+that follow the vocabulary.  Weights add to the logarithms of the plain frequencies, so
 that an untrained model is the unigram model.
 
 Every task trains on its share of the training texts, in mini-batches with
@@ -34,6 +36,7 @@ SLOTS = 16
 FREQUENT = 16  # classes of frequent words
 SPELLED = 16  # classes of all others
 TABLE_BITS = 13
+WORD_BITS = 8, 15  # of the rows for words before: an eighth of the vocabulary, within these
 BATCH = 16_384
 RATE = 0.1
 ROUNDS = 1
@@ -136,12 +139,12 @@ def _counted(bits: int):
 
 
 def _summed(rows: pd.DataFrame) -> pd.DataFrame:
-    """All words of a bucket with their counts, totals, masses of spellings, and the most frequent."""
+    """All words of a bucket with their counts, totals, masses of bins of spellings, and the most frequent."""
     keys, counts = joined(rows["keys"], _U), joined(rows["counts"], np.int64)
     keys, entry = np.unique(keys, return_inverse=True)
     counts = np.bincount(entry, weights=counts, minlength=len(keys)).astype(np.int64)
     top = np.lexsort((keys, -counts))[:_WORDS]
-    spelled = np.bincount((keys & _U(15)).astype(np.int64), weights=counts + 0.5, minlength=SPELLED)
+    spelled = np.bincount((keys & _U(255)).astype(np.int64), weights=counts + 0.5, minlength=SPELLED * SLOTS)
     row = (
         int(rows["bucket"].iloc[0]), keys.tobytes(), counts.tobytes(), int(counts.sum()), len(keys), spelled.tolist(),
         keys[top].view(np.int64).tolist(), counts[top].tolist(),
@@ -165,13 +168,17 @@ class Vocabulary:
     keys: np.ndarray  # of the frequent words, most frequent first
     counts: np.ndarray
     masses: np.ndarray  # of the spelled classes, without frequent words
+    bins: np.ndarray | None = None  # of their bins
 
     def __post_init__(self) -> None:
+        if self.bins is None:
+            self.bins = np.repeat(self.masses[:, None] / SLOTS, SLOTS, axis=1)
         filled = np.zeros(_WORDS)
         filled[: len(self.counts)] = self.counts + 0.5
         by_class = filled.reshape(FREQUENT, SLOTS)
         with np.errstate(divide="ignore"):
-            within = by_class / by_class.sum(axis=1, keepdims=True).clip(1e-9)
+            parts = np.concatenate([by_class, self.bins + 0.5])
+            within = parts / parts.sum(axis=1, keepdims=True).clip(1e-9)
             self.within = np.log(within).clip(-60).astype(np.float32)
             self.classes = np.log(np.concatenate([by_class.sum(axis=1), self.masses + 0.5]))
         self.classes -= np.log(np.exp(self.classes).sum())
@@ -180,15 +187,22 @@ class Vocabulary:
     @classmethod
     def of(cls, table: DataFrame) -> Vocabulary:
         """Totals of all buckets; the driver sees ``_WORDS`` words and one row of sums."""
-        sums = [F.sum(F.col("spelled")[i]).alias(f"s{i}") for i in range(SPELLED)]
-        row = table.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v"), *sums).first()
-        masses = np.array([row[f"s{i}"] or 0.0 for i in range(SPELLED)])
+        row = table.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
+        masses = np.zeros(SPELLED * SLOTS)
+        for place, mass in table.select(F.posexplode("spelled")).groupBy("pos").agg(F.sum("col")).collect():
+            masses[place] = mass
         pairs = table.select(F.explode(F.arrays_zip("top_keys", "top_counts")).alias("x")).select("x.*")
         top = pairs.orderBy(F.col("top_counts").desc(), "top_keys").limit(_WORDS).collect()
         keys = np.array([r["top_keys"] for r in top], np.int64).view(_U)
         counts = np.array([r["top_counts"] for r in top], np.int64)
-        np.subtract.at(masses, (keys & _U(15)).astype(np.int64), counts + 0.5)
-        return cls(row["n"] or 0, row["v"] or 0, keys, counts, masses.clip(0))
+        np.subtract.at(masses, (keys & _U(255)).astype(np.int64), counts + 0.5)
+        bins = masses.clip(0).reshape(SLOTS, SPELLED).T
+        return cls(row["n"] or 0, row["v"] or 0, keys, counts, bins.sum(axis=1), bins)
+
+
+def _bins(keys: np.ndarray) -> np.ndarray:
+    """The bin of each word in its spelled class."""
+    return ((keys >> _U(4)) & _U(SLOTS - 1)).astype(np.int32)
 
 
 def _features(keys: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
@@ -209,15 +223,18 @@ class _Text:
     distinct: np.ndarray  # keys
     word: np.ndarray  # of each token, in ``distinct``
     feature: np.ndarray
+    slot: np.ndarray  # in its class: of a frequent word, or the bin of another
     starts: np.ndarray  # of the documents
 
     @classmethod
     def of(cls, texts: Iterable[str | None], vocabulary: Vocabulary) -> _Text:
         keys, tokens, starts = _coded(texts)
-        return cls(keys, tokens, _features(keys, vocabulary)[tokens], starts)
+        feature = _features(keys, vocabulary)
+        slot = np.where(feature < _WORDS, feature % SLOTS, _bins(keys))
+        return cls(keys, tokens, feature[tokens], slot[tokens], starts)
 
     def contexts(self) -> list[np.ndarray]:
-        """The features of the first, second and third word before each token."""
+        """The features of the first, second and third word before each token, and a hash of the first."""
         count = len(self.word)
         since = np.arange(count) - np.repeat(self.starts, np.diff(np.append(self.starts, count)))
         out = []
@@ -226,7 +243,10 @@ class _Text:
             before[back:] = self.feature[:-back] if count > back else []
             before[since < back] = _START
             out.append(before)
-        return out
+        word = np.zeros(count, np.uint32)
+        word[1:] = (self.distinct >> _U(32)).astype(np.uint32)[self.word[:-1]] if count > 1 else []
+        word[since < 1] = 0
+        return [*out, word]
 
 
 class Model:
@@ -234,19 +254,22 @@ class Model:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        rows = 3 * _FEATURES + 2**TABLE_BITS
+        low, high = WORD_BITS
+        self.word_bits = min(high, max(low, vocabulary.words.bit_length() - 3))
+        rows = 3 * _FEATURES + 2**TABLE_BITS + 2**self.word_bits
         self.classes = np.zeros((rows, _CLASSES), np.float32)
-        self.slots = np.zeros((2 * FREQUENT * _FEATURES, SLOTS), np.float32)
+        self.slots = np.zeros((2 * _CLASSES * _FEATURES, SLOTS), np.float32)
 
     def class_rows(self, before: list[np.ndarray]) -> list[np.ndarray]:
-        first, second, third = before
+        first, second, third, word = before
         pair = (second.astype(np.uint32) * np.uint32(_FEATURES) + first.astype(np.uint32)) * np.uint32(2654435769)
         hashed = (pair >> np.uint32(32 - TABLE_BITS)).astype(np.int32)
-        return [first, second + _FEATURES, third + 2 * _FEATURES, hashed + 3 * _FEATURES]
+        own = (word >> np.uint32(32 - self.word_bits)).astype(np.int32) + (3 * _FEATURES + 2**TABLE_BITS)
+        return [first, second + _FEATURES, third + 2 * _FEATURES, hashed + 3 * _FEATURES, own]
 
     def slot_rows(self, before: list[np.ndarray], class_: np.ndarray) -> list[np.ndarray]:
-        first, second, _ = before
-        return [class_ * _FEATURES + first, (FREQUENT + class_) * _FEATURES + second]
+        first, second = before[:2]
+        return [class_ * _FEATURES + first, (_CLASSES + class_) * _FEATURES + second]
 
     @staticmethod
     def _logs(table: np.ndarray, rows: list[np.ndarray], base: np.ndarray) -> np.ndarray:
@@ -265,19 +288,21 @@ class Model:
             part = slice(start, start + BATCH)
             feature = text.feature[part]
             class_ = np.where(feature < _WORDS, feature // SLOTS, feature - _WORDS + FREQUENT)
-            yield part, class_, feature % SLOTS, [x[part] for x in before]
+            yield part, class_, text.slot[part], [x[part] for x in before]
 
     def logs(self, text: _Text) -> np.ndarray:
         """Natural logarithms of each token's class and, for frequent words, of the word in it."""
-        out = np.empty(len(text.word))
+        classes, slots = self.split_logs(text)
+        return classes + np.where(text.feature < _WORDS, slots, 0)
+
+    def split_logs(self, text: _Text) -> tuple[np.ndarray, np.ndarray]:
+        """Natural logarithms of each token's class, and of its slot or bin in that."""
+        out = np.empty(len(text.word)), np.empty(len(text.word))
         for part, class_, slot, before in self.batches(text):
             own = np.arange(len(class_))
-            got = self._logs(self.classes, self.class_rows(before), self.vocabulary.classes)[own, class_].astype(float)
-            known = np.nonzero(class_ < FREQUENT)[0]
-            rows = self.slot_rows([x[known] for x in before], class_[known])
-            within = self._logs(self.slots, rows, self.vocabulary.within[class_[known]])
-            got[known] += within[np.arange(len(known)), slot[known]]
-            out[part] = got
+            out[0][part] = self._logs(self.classes, self.class_rows(before), self.vocabulary.classes)[own, class_]
+            rows = self.slot_rows(before, class_)
+            out[1][part] = self._logs(self.slots, rows, self.vocabulary.within[class_])[own, slot]
         return out
 
 
@@ -306,12 +331,10 @@ class _Trainer:
             wrong = np.exp(model._logs(model.classes, rows, model.vocabulary.classes))
             wrong[np.arange(len(class_)), class_] -= 1
             self._step(0, rows, wrong)
-            known = np.nonzero(class_ < FREQUENT)[0]
-            if len(known):
-                rows = model.slot_rows([x[known] for x in before], class_[known])
-                wrong = np.exp(model._logs(model.slots, rows, model.vocabulary.within[class_[known]]))
-                wrong[np.arange(len(known)), slot[known]] -= 1
-                self._step(1, rows, wrong)
+            rows = model.slot_rows(before, class_)
+            wrong = np.exp(model._logs(model.slots, rows, model.vocabulary.within[class_]))
+            wrong[np.arange(len(class_)), slot] -= 1
+            self._step(1, rows, wrong)
 
 
 def _flat(model: Model) -> np.ndarray:
@@ -440,9 +463,9 @@ def _scored(model: Model):
         counts[frequent] = [known[int(key)] for key in text.distinct[frequent]]
         base = np.log10((counts + 0.5) / (vocabulary.tokens + 0.5 * (vocabulary.words + 1)))
         spelled = (text.distinct & _U(15)).astype(np.int64)
-        within = np.log((counts + 0.5) / (vocabulary.masses + 0.5)[spelled]).clip(-700, 0)
+        within = np.log((counts + 0.5) / (vocabulary.bins + 0.5)[spelled, _bins(text.distinct)]).clip(-700, 0)
         within[frequent] = 0
-        logs = (model.logs(text) + within[text.word]) / _LOG10
+        logs = (sum(model.split_logs(text)) + within[text.word]) / _LOG10
         return pd.DataFrame(
             {
                 "doc_id": docs["doc_id"].astype("Int64").to_numpy(),

@@ -123,3 +123,35 @@ def test_tokens_and_keys():
 def test_no_documents_in_a_batch():
     keys, word, starts = maxent._coded([])
     assert len(keys) == 1 and len(word) == len(starts) == 0
+
+
+def test_words_that_are_not_frequent_are_predicted_from_words_before():
+    """Their bins sum to one with exact counts, and rare words before, hashed as they are, tell of the next."""
+    rng = np.random.default_rng(2)
+    words = [f"w{i}".encode() for i in range(600)]
+    counts = dict(zip([maxent.END, *words], [900, *(9 if i < 300 else 1 for i in range(600))]))
+    plain = _vocabulary(counts)
+    keys = maxent._keys(counts)
+    rare = ~np.isin(keys, plain.keys)
+    masses = np.bincount((keys[rare] & np.uint64(255)).astype(int), np.array(list(counts.values()))[rare] + 0.5, 256)
+    bins = masses.reshape(16, 16).T
+    vocabulary = maxent.Vocabulary(plain.tokens, plain.words, plain.keys, plain.counts, bins.sum(axis=1), bins)
+    model = maxent.Model(vocabulary)
+    texts = [" ".join(f"w{300 + 2 * i} w{301 + 2 * i}" for i in rng.integers(0, 149, 30)) for _ in range(60)]
+    text = maxent._Text.of(texts, vocabulary)
+    untrained = [x.mean() for x in model.split_logs(text)]
+    for _ in range(5):
+        maxent._Trainer(model).learn(text)
+    assert all(now > before for now, before in zip([x.mean() for x in model.split_logs(text)], untrained))
+    total = 0.0
+    for word in counts:
+        text = maxent._Text.of([f"w3 w500 {word.decode()}" if word != maxent.END else "w3 w500"], vocabulary)
+        key = text.distinct[text.word[2]]
+        log = sum(x[2] for x in model.split_logs(text))
+        if key not in vocabulary.keys:
+            log += math.log((counts[word] + 0.5) / (bins[int(key) & 15, int(key) >> 4 & 15] + 0.5))
+        total += math.exp(log)
+    # The rest belongs to an unknown word in each bin.
+    assert 0.8 < total < 1
+    one, other = (model.class_rows([x[2:3] for x in maxent._Text.of([t], vocabulary).contexts()])[4] for t in ("a w500 w1", "a w502 w1"))
+    assert one != other
