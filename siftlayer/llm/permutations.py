@@ -2,12 +2,12 @@
 
 A vector is represented by the order in which it sees a set of pivots, the
 nearest first.  Vectors that see the pivots in nearly the same order lie close
-together.  The index is an inverted file: the list of a pivot holds every vector
-that has the pivot among its nearest ones, with its place in that vector's order.
-A query reads the lists of its own nearest pivots and adds up, for each vector,
-how far the places of a pivot are apart (Spearman's footrule; a pivot that is
-missing counts as standing behind the last).  The vectors with the least sums are
-scored with their inner products.
+together.  The index is an inverted file: the list of a pivot holds its place in
+the order of every vector (a pivot that is not among a vector's nearest ones
+counts as standing behind the last).  A query reads the lists of its
+own nearest pivots and adds up, for each vector, how far the places of a pivot are
+apart (Spearman's footrule).  The vectors with the least sums are scored with
+their inner products.
 
 The largest product is the least distance once every vector gets one more
 component that brings all to the same length, and queries a zero there, so pivots
@@ -31,15 +31,18 @@ from .common import Workspace
 
 PIVOTS = 256
 #: How many of its pivots a vector is posted under, and how many lists a query reads.
-POSTED = 128
+#: Their sums fit in two bytes.
+POSTED = 255
 READ = 64
 #: Entries whose products are computed: this share of a block and some more.
-SHARE = 1 / 6
-MORE = 64
+SHARE = 1 / 14
+MORE = 128
 K = 20
 EVERY = 20
-CANDIDATE_BLOCK = 8192
-QUERY_BLOCK = 4096
+CANDIDATE_BLOCK = 16384
+QUERY_BLOCK = 16384
+#: Rows whose closeness to all pivots is held at once.
+CHUNK = 2048
 SEED = 13
 
 
@@ -77,9 +80,7 @@ class Index:
     starts: np.ndarray
     pivots: np.ndarray
     posted: int
-    #: The list of pivot ``p`` is ``entry[lists[p]:lists[p + 1]]``, with the places in ``place``.
-    lists: np.ndarray
-    entry: np.ndarray
+    #: The list of pivot ``p`` is ``place[p]``, with ``posted`` for entries that are not posted under it.
     place: np.ndarray
 
     @classmethod
@@ -100,20 +101,22 @@ class Index:
         some = np.random.default_rng(SEED).permutation(len(rows))[:pivots]
         at = level[np.sort(some)]
         posted = min(posted, len(at))
-        near = _nearest(level, at, posted)
-        order = np.argsort(near.ravel(), kind="stable")
-        lists = np.searchsorted(near.ravel()[order], np.arange(len(at) + 1))
-        return cls(rows, ids, starts, at, posted, lists, order // posted, (order % posted).astype(np.int32))
+        place = np.full((len(at), len(rows)), posted, np.min_scalar_type(-posted - 1))
+        for start in range(0, len(rows), CHUNK):
+            near = _nearest(level[start : start + CHUNK], at, posted)
+            place[near, start + np.arange(len(near))[:, None]] = np.arange(posted)
+        return cls(rows, ids, starts, at, posted, place)
 
     def footrule(self, query: np.ndarray, read: int = READ) -> np.ndarray:
         """For each row, how far apart the query's nearest pivots stand in both orders."""
         level = np.append(query / np.sqrt((query**2).sum()), 0.0)
         near = _nearest(level[None], self.pivots, min(read, self.posted))[0]
-        total = np.full(len(self.rows), sum(self.posted - i for i in range(len(near))), np.int64)
+        apart = np.empty_like(self.place[0])
+        total = np.zeros(len(self.rows), np.promote_types(apart.dtype, np.min_scalar_type(-len(near) * self.posted - 1)))
         for i, pivot in enumerate(near):
-            own = slice(self.lists[pivot], self.lists[pivot + 1])
-            # Instead of the place behind the last, the place where the pivot stands.
-            total[self.entry[own]] += np.abs(self.place[own] - i) - (self.posted - i)
+            np.subtract(self.place[pivot], i, out=apart)
+            np.abs(apart, out=apart)
+            np.add(total, apart, out=total)
         return total
 
     def found(self, query_id: int, query: np.ndarray, k: int, share: float, more: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,8 +124,7 @@ class Index:
         wanted = int(len(self.rows) * share) + more
         some = np.arange(len(self.rows))
         if wanted < len(some):
-            # Ties go to smaller ids.
-            some = np.argpartition(self.footrule(_unit(query[None])[0]) * len(some) + some, wanted)[:wanted]
+            some = _least(self.footrule(_unit(query[None])[0]), wanted)
         scores = self._scores(some, query)
         best = len(some) - min(k + 1, len(some))  # one of them may be the query itself
         some = some[_order(scores) >= np.partition(_order(scores), best)[best]]
@@ -144,6 +146,14 @@ def _order(scores: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(scores), -np.inf, scores)
 
 
+def _least(sums: np.ndarray, count: int) -> np.ndarray:
+    """The places of the ``count`` least sums; ties go to smaller places."""
+    upto = np.cumsum(np.bincount(sums))
+    last = np.searchsorted(upto, count)
+    taken = np.flatnonzero(sums < last)
+    return np.concatenate([taken, np.flatnonzero(sums == last)[: count - len(taken)]])
+
+
 def _nearest(rows: np.ndarray, pivots: np.ndarray, count: int) -> np.ndarray:
     """The numbers of the ``count`` nearest pivots of each row, the nearest first."""
     closeness = rows @ pivots.T  # all pivots are equally long
@@ -161,13 +171,16 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def _searched(k: int, share: float, more: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})]
+        asked, found, scored = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
         if len(queries) and len(rows):
             index = Index.built(rows["vec_id"].to_numpy(np.int64), _matrix(rows["v"]), k)
             for query_id, query in zip(queries["vec_id"].tolist(), _matrix(queries["v"]), strict=True):
                 ids, scores = index.found(query_id, query, k, share, more)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
-        return pd.concat(out)
+                asked.append(np.full(len(ids), query_id))
+                found.append(ids)
+                scored.append(scores)
+        columns = {"query_id": asked, "vec_id": found, "score": scored}
+        return pd.DataFrame({name: np.concatenate(parts) for name, parts in columns.items()})
 
     return run
 

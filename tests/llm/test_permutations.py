@@ -110,3 +110,36 @@ def test_footrule_of_postings():
         for order in (orders(v)[:8] for v in level)
     ]
     assert index.footrule(query, 6).tolist() == expected
+
+
+def test_few_products_and_short_lists(monkeypatch):
+    """In vectors without any clusters a tenth of a block is scored, and sums take two bytes a vector."""
+    rng = np.random.default_rng(8)
+    rows = rng.normal(0, 1, (6000, 64))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    index = Index.built(np.arange(6000), rows, 20)
+    assert index.footrule(rows[0]).nbytes == 2 * len(rows)
+    scored = []
+    plain = Index._scores
+    monkeypatch.setattr(Index, "_scores", lambda self, some, query: scored.append(len(some)) or plain(self, some, query))
+    found, expected = {}, {}
+    for i in range(0, 6000, 60):
+        found[i] = list(zip(*index.found(i, rows[i], 20, permutations.SHARE, permutations.MORE), strict=True))
+        products = rows @ rows[i]
+        expected[i] = [(j, products[j]) for j in np.argsort(-products) if j != i][:20]
+    assert max(scored) <= 600
+    assert recall(found, expected) >= 0.95
+
+
+def test_least_sums_with_ties():
+    sums = np.array([5, 2, 5, 0, 5, 2], np.int16)
+    for count in range(1, 6):
+        assert sorted(permutations._least(sums, count)) == sorted([3, 1, 5, 0, 2, 4][:count])
+
+
+@pytest.mark.parametrize("count", [1, 2, 127, 128, 129, 256])
+def test_as_many_vectors_as_a_number_type_counts(count):
+    rows = np.random.default_rng(9).normal(0, 1, (count, 3))
+    ids, scores = Index.built(np.arange(count), rows, 5).found(0, rows[0], 5, 0, 60)
+    assert len(ids) == min(5, count - 1) and scores.tolist() == [(rows[i] * rows[0]).sum() for i in ids]
+    assert (Index.built(np.arange(count), rows, 5).footrule(rows[0]) >= 0).all()
