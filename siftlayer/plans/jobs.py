@@ -92,7 +92,7 @@ def ingest(
     sources: Sequence[TextSource],
     options: Options = Options(),
 ) -> None:
-    """Write the whole source to bronze: one scan, no shuffle unless rebalanced."""
+    """Write the whole source to bronze: one scan, no shuffle unless rebalanced or large."""
     raw = locate(spark, sources).scan(spark, trips.RAW)
     with tuned_for(raw, width=options.width):
         append_partitioned(

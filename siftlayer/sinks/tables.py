@@ -31,7 +31,7 @@ from siftlayer.sources.tables import (
     table_properties,
     view_of,
 )
-from siftlayer.tuning import Width, file_size, open_files, tuned_for
+from siftlayer.tuning import Width, file_size, open_files, scanned_bytes, tuned_for
 
 log = logging.getLogger(__name__)
 
@@ -40,6 +40,9 @@ _VERSIONS = "/_versions/"
 _SPREAD = "_spread_of_row"
 # A rebalanced task holds few partitions; rows of any beyond these are sorted first.
 _OPEN_FILES = 32
+# Rows beyond so many estimated bytes are rebalanced unless told otherwise: each task
+# would sort its share by partition, and write a small file to nearly every partition.
+_SORTED_BYTES = 256 * 1024**2
 # Types that no hash aggregate keeps the least of.
 _UNSIZED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 # Ranges of up to so many files are sent to every task.
@@ -132,17 +135,20 @@ def append_partitioned(
 
     Columns may come and go between appends: missing values read as null.  A
     folder that holds files but is no table yet is registered with them first;
-    existing files are never removed.  The write needs no shuffle; each task
-    writes one file per partition it holds.  ``rebalance`` adds one shuffle for
-    fewer and larger files: it gathers the rows of a partition and lets AQE split
-    partitions beyond ``file_bytes`` of shuffled rows.  Its tasks write the few
-    partitions they hold side by side and sort nothing.  ``written_bytes`` deals rows
+    existing files are never removed.  Without ``rebalance`` the write needs no
+    shuffle; each task sorts its rows by partition and writes one file per partition
+    it holds.  ``rebalance`` adds one shuffle for fewer and larger files: it gathers
+    the rows of a partition and lets AQE split partitions beyond ``file_bytes`` of
+    shuffled rows.  Its tasks write the few partitions they hold side by side and sort
+    nothing.  Left out, Spark's estimate of the rows decides.  ``written_bytes`` deals rows
     to files of that size on disk instead (see :mod:`siftlayer.sinks.sizing`), for
     which the rows are counted first.  ``mode="overwrite"`` replaces all contents, as
     :func:`replace_table` does.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
+    if rebalance is None:
+        rebalance = written_bytes is None and (scanned_bytes(df) or 0) > _SORTED_BYTES
     together = _OPEN_FILES if rebalance and written_bytes is None else None
 
     def arranged(rows: DataFrame) -> DataFrame:

@@ -665,3 +665,20 @@ def test_ranges_of_files_take_no_sort(spark, name, tmp_path):
 
         assert plain(found, 1) == plain(wanted, 2)
         assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_append_is_rebalanced_unless_told_otherwise(spark, tmp_path, monkeypatch):
+    """Eight tasks with rows of both partitions write a file to each, or one shuffle gathers them."""
+    spark.range(0, 8000, 1, 8).selectExpr("id", "id % 2 as p").write.parquet(str(tmp_path / "source"))
+    df = spark.read.parquet(*sorted(str(f) for f in (tmp_path / "source").glob("*.parquet"))).repartition(8)
+    files = {}
+    for most, rebalance in ((None, None), (1, None), (1, False)):
+        with monkeypatch.context() as patch:
+            if most is not None:
+                patch.setattr("siftlayer.sinks.tables._SORTED_BYTES", most)
+            name = f"large_{most}_{rebalance}".lower()
+            append_partitioned(df, name, ["p"], str(tmp_path / name), rebalance)
+        assert spark.table(name).count() == 8000
+        files[most, rebalance] = len(list((tmp_path / name).rglob("*.parquet")))
+        spark.sql(f"DROP TABLE {name}")
+    assert files == {(None, None): 16, (1, None): 2, (1, False): 16}
