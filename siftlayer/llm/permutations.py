@@ -36,7 +36,7 @@ POSTED = 255
 READ = 64
 #: Entries whose products are computed: this share of a block and some more.
 SHARE = 1 / 14
-MORE = 128
+MORE = 512
 K = 20
 EVERY = 20
 CANDIDATE_BLOCK = 16384
